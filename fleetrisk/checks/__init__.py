@@ -4,7 +4,7 @@ import importlib
 
 from fleetrisk.checks import registry
 
-_MODULES = ["mart_queries"]
+_MODULES = ["mart_queries", "feature_queries"]
 
 
 def _load() -> None:
