@@ -4,7 +4,7 @@ import importlib
 
 from fleetrisk.checks import registry
 
-_MODULES = ["mart_queries", "feature_queries"]
+_MODULES = ["mart_queries", "feature_queries", "quality_queries", "model_queries", "source_queries"]
 
 
 def _load() -> None:
