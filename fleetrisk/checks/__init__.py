@@ -4,7 +4,8 @@ import importlib
 
 from fleetrisk.checks import registry
 
-_MODULES = ["mart_queries", "feature_queries", "quality_queries", "model_queries", "source_queries"]
+_MODULES = ["mart_queries", "feature_queries", "quality_queries", "model_queries", "source_queries",
+            "training_queries", "stream_queries"]
 
 
 def _load() -> None:

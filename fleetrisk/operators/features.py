@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetrisk.functions import fixed, readings
 from fleetrisk.functions.numbers import count_if, numeric_columns, ratio
 from fleetrisk.operators.ranks import exact_quantiles
-from fleetrisk.operators.timeline import Timeline, on_timeline
+from fleetrisk.operators.timeline import HOT_ROWS, Timeline, on_timeline
 
 MIN_ROWS = 3
 
@@ -136,8 +136,9 @@ def feature_table(df: DataFrame, cols: list[str] | None = None, medians: bool =
         t = recipe.apply(t)
         return t.fill_both(numeric_columns(t.df, exclude=[*fixed.TARGETS, *_keys(df), "_block", "_pos"]))
 
-    out = on_timeline(df, build, **layout)
-    if not medians or _every_vehicle_is_filled(df, cols):
+    open_vehicles, hot_vehicles = _vehicle_checks(df, cols, layout.get("hot_rows") or HOT_ROWS, **_named_key(layout))
+    out = on_timeline(df, build, **layout, any_hot=hot_vehicles > 0)
+    if not medians or not open_vehicles:
         return out
     numbers = numeric_columns(out, exclude=[*fixed.TARGETS, *_keys(df)])
     open_cols = columns_with_nulls(out, numbers)
@@ -148,12 +149,16 @@ def _keys(df: DataFrame) -> list[str]:
     return [c for c in ("event_id", "reading_id") if c in df.columns]
 
 
-def _every_vehicle_is_filled(df: DataFrame, cols: list[str]) -> bool:
-    """True when no feature can be empty for a whole vehicle, so that no median is needed.
+def _named_key(layout: dict) -> dict:
+    return {"key": layout["key"]} if "key" in layout else {}
 
-    Sufficient only: with enough values per vehicle some frame must hold three of them, some pair
-    and triple of rows must be complete, and some base eight rows back must be non-zero. One cheap
-    map-side aggregate, instead of computing every feature twice.
+
+def _vehicle_checks(df: DataFrame, cols: list[str], hot_rows: int, key: str = "vehicle_id") -> tuple[int, int]:
+    """(vehicles that may keep an empty feature, vehicles above hot_rows) from one map-side aggregate.
+
+    The first is an upper bound: with enough values per vehicle some frame must hold three of
+    them, some pair and triple of rows must be complete, and some base eight rows back must be
+    non-zero. It saves computing every feature twice just to learn that no median is needed.
     """
     n = F.count(F.lit(1))
 
@@ -173,8 +178,8 @@ def _every_vehicle_is_filled(df: DataFrame, cols: list[str]) -> bool:
     ok = tests[0]
     for test in tests[1:]:
         ok = ok & test
-    bad = df.groupBy("vehicle_id").agg(ok.alias("ok")).agg(count_if(~F.col("ok")).alias("bad"))
-    return bad.first()["bad"] == 0
+    per_vehicle = df.groupBy(key).agg(ok.alias("ok"), n.alias("n"))
+    return tuple(per_vehicle.agg(count_if(~F.col("ok")), count_if(F.col("n") > hot_rows)).first())
 
 
 def columns_with_nulls(df: DataFrame, cols: list[str]) -> list[str]:

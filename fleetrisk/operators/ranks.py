@@ -28,10 +28,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], fit_rows
         return {}
     values = df.select(*[finite(F.col(c)).alias(f"c{i}") for i, c in enumerate(cols)])
     stats = _extent(values, len(cols))
-    if max(s["n"] for s in stats) <= fit_rows:
-        row = values.agg(*[F.percentile(f"c{i}", list(probs)).alias(f"c{i}") for i in range(len(cols))]).first()
-        return {c: (list(row[f"c{i}"]) if row[f"c{i}"] is not None else [None] * len(probs)) for i, c in enumerate(cols)}
-
     wanted = set()
     for i, s in enumerate(stats):
         for p in probs:
@@ -48,17 +44,22 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], fit_rows
                 at = (n - 1) * p
                 low = math.floor(at)
                 a, b = found[i, low], found[i, min(low + 1, n - 1)]
-                out[c][k] = a if a == b else (1 - (at - low)) * a + (at - low) * b
+                out[c][k] = _between(a, b, at - low)
     return out
 
 
-def value_at_rank(df: DataFrame, col, rank: int, fit_rows: int = FIT_ROWS):
-    """The ``rank``-th smallest (from 0) value of an integral column, and how many rows lie below it."""
+def _between(a: float, b: float, share: float) -> float:
+    """Linear interpolation from the nearer end, as the usual array libraries round it."""
+    return a + (b - a) * share if share < 0.5 else b - (b - a) * (1 - share)
+
+
+def values_at_ranks(df: DataFrame, col, ranks: list[int], fit_rows: int = FIT_ROWS) -> dict:
+    """{rank: (value, rows below it)} of an integral column; ranks count from 0. All ranks share the passes."""
     values = df.select(col.cast("bigint").alias("c0"))
-    stats = _extent(values, 1)
-    value = _select(values, stats, {(0, rank)}, fit_rows)[0, rank]
-    below = values.where(F.col("c0") < F.lit(value)).count()
-    return value, below
+    found = _select(values, _extent(values, 1), {(0, r) for r in ranks}, fit_rows)
+    edges = sorted({found[0, r] for r in ranks})
+    below = values.agg(*[F.count(F.when(F.col("c0") < F.lit(e), 1)).alias(f"b{i}") for i, e in enumerate(edges)]).first()
+    return {r: (found[0, r], below[f"b{edges.index(found[0, r])}"]) for r in ranks}
 
 
 def _extent(values: DataFrame, k: int) -> list[dict]:
@@ -79,6 +80,8 @@ def _bucket(x, lo, hi):
 def _select(values: DataFrame, stats: list[dict], wanted: set, fit_rows: int) -> dict:
     """{(column, rank): value} for all wanted ranks, narrowing their brackets together."""
     found = {}
+    if max((stats[i]["n"] for i, _ in wanted), default=0) <= fit_rows:
+        return _sorted_values(values, wanted)
     state = {t: (stats[t[0]]["lo"], stats[t[0]]["hi"], 0, stats[t[0]]["n"]) for t in wanted}
     while True:
         for t in [t for t, (lo, hi, _, _) in state.items() if lo == hi]:
@@ -104,17 +107,28 @@ def _select(values: DataFrame, stats: list[dict], wanted: set, fit_rows: int) ->
         narrow = sorted({(t[0], s[0], s[1]) for t, s in state.items()})
         lists = _bracket_rows(values, narrow, bucketed=False).groupBy("b").agg(
             F.sort_array(F.collect_list("x")).alias("xs"))  # each list holds at most fit_rows values
-        picks = {b: [] for b in range(len(narrow))}
+        targets = [[] for _ in narrow]
         for t, (lo, hi, below, _) in state.items():
-            picks[narrow.index((t[0], lo, hi))].append((t, t[1] - below))
-        for b, targets in picks.items():
-            row = lists.where(F.col("b") == b).select(
-                *[F.element_at("xs", at + 1).alias(f"v{j}") for j, (_, at) in enumerate(targets)]).first()
-            for j, (t, _) in enumerate(targets):
-                found[t] = row[f"v{j}"]
+            targets[narrow.index((t[0], lo, hi))].append((t, t[1] - below))
+        places = F.array().cast("array<int>")
+        for b, picks in enumerate(targets):
+            places = F.when(F.col("b") == b, F.array(*[F.lit(at + 1) for _, at in picks])).otherwise(places)
+        for row in lists.select("b", F.transform(places, lambda at: F.element_at("xs", at)).alias("v")).collect():
+            for (t, _), v in zip(targets[row["b"]], row["v"]):  # one number per wanted rank
+                found[t] = v
     return found
 
 
+def _sorted_values(values: DataFrame, wanted: set) -> dict:
+    """The wanted ranks of columns that hold at most fit_rows values each."""
+    if not wanted:
+        return {}
+    lists = values.agg(*[F.sort_array(F.collect_list(f"c{i}")).alias(f"c{i}") for i in sorted({i for i, _ in wanted})])
+    order = sorted(wanted)
+    row = lists.select(*[F.element_at(f"c{i}", r + 1).alias(f"v{j}") for j, (i, r) in enumerate(order)]).first()
+    return {t: row[j] for j, t in enumerate(order)}
+
+
 def _bracket_rows(values: DataFrame, brackets: list, bucketed: bool) -> DataFrame:
     cells = []
     for b, (i, lo, hi) in enumerate(brackets):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetrisk.functions import fixed
 from fleetrisk.functions.numbers import finite, numeric_columns
-from fleetrisk.operators.ranks import FIT_ROWS, value_at_rank
+from fleetrisk.operators.ranks import FIT_ROWS, values_at_ranks
 
 NOT_FEATURES = ["event_id", "reading_id", "ts", "timestamp", "date", "vehicle_id", "fault_date", "fault_ts",
                 "next_fault_ts", "days_to_fault", "target", *fixed.TARGETS]
@@ -43,25 +43,33 @@ class Cut:
         return (ts < self.micros) | ((ts == self.micros) & (F.col(self.seq) < self.number))
 
 
-def cut_at(df: DataFrame, rank: int, rows: int, ts: str = "ts", seq: str = "event_id",
-           fit_rows: int = FIT_ROWS) -> Cut:
-    """The cut with exactly ``rank`` rows before it.
+def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str = "event_id",
+            fit_rows: int = FIT_ROWS) -> list[Cut]:
+    """The cuts with exactly the given numbers of rows before them.
 
-    Rank selection on the time column, then on the sequence number inside that one time: only
+    Rank selection on the time column, then on the sequence number inside each found time: only
     counts move, the rows are never sorted or shuffled.
     """
-    if rank >= rows:
-        return Cut(ts, seq, None, None)
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    at, below = value_at_rank(df, micros, rank, fit_rows)
-    number, _ = value_at_rank(df.where(micros == at), F.col(seq), rank - below, fit_rows)
-    return Cut(ts, seq, at, number)
+    inside = sorted({r for r in ranks if r < rows})
+    cuts = {r: Cut(ts, seq, None, None) for r in ranks if r >= rows}
+    if inside:
+        micros = F.unix_micros(F.col(ts).cast("timestamp"))
+        at = values_at_ranks(df, micros, inside, fit_rows)
+        times = sorted({v for v, _ in at.values()})
+        single = {r["m"]: (r["n"], r["first"]) for r in df.where(micros.isin(times)).groupBy(micros.alias("m")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(seq).alias("first")).collect()}  # one row per cut
+        for r, (time, below) in at.items():
+            n, number = single[time]
+            if n > 1 and r > below:
+                number = values_at_ranks(df.where(micros == time), F.col(seq), [r - below], fit_rows)[r - below][0]
+            cuts[r] = Cut(ts, seq, time, number)
+    return [cuts[r] for r in ranks]
 
 
 def ordered_split(df: DataFrame, test_share: float = 0.2, **args) -> tuple[DataFrame, DataFrame]:
     """(train, test): the last ceil(share * n) rows in time order are the test set."""
     n = df.count()
-    cut = cut_at(df, n - math.ceil(test_share * n), n, **args)
+    cut = cuts_at(df, [n - math.ceil(test_share * n)], n, **args)[0]
     return df.where(cut.before()), df.where(~cut.before())
 
 
@@ -71,7 +79,7 @@ def expanding_folds(df: DataFrame, folds: int = 5, **args) -> list[tuple[DataFra
     size = n // (folds + 1)
     if size == 0:
         raise ValueError(f"cannot make {folds} folds of {n} rows")
-    cuts = [cut_at(df, n - size * (folds - k), n, **args) for k in range(folds + 1)]
+    cuts = cuts_at(df, [n - size * (folds - k) for k in range(folds + 1)], n, **args)
     return [(df.where(a.before()), df.where(~a.before() & b.before())) for a, b in zip(cuts, cuts[1:])]
 
 
