@@ -103,15 +103,15 @@ def violations_7(spark, sf):
 def _rowwise(name, sql, expr, doubles=True):
     @query(name, f"SELECT event_id, vehicle_id, {sql} FROM telemetry", name if doubles else "", TELEMETRY)
     def run(spark, sf):
-        return views.telemetry(spark, sf).select(*KEYS, expr.alias(name))
+        return views.telemetry(spark, sf).select(*KEYS, expr().alias(name))
     return run
 
 
-_rowwise("engine_stress", "(engine_temperature / 100) * (rpm / 3000) AS engine_stress", readings.engine_stress())
+_rowwise("engine_stress", "(engine_temperature / 100) * (rpm / 3000) AS engine_stress", readings.engine_stress)
 _rowwise("battery_health", "CASE WHEN battery_voltage > 12.4e0 THEN 'Good' WHEN battery_voltage > 12.0e0 THEN 'Fair' "
-         "ELSE 'Poor' END AS battery_health", readings.battery_health(), False)
-_rowwise("oil_temp_ratio", "oil_pressure / (engine_temperature + 1e-5) AS oil_temp_ratio", readings.oil_temp_ratio())
-_rowwise("fuel_efficiency", "distance_km / (fuel_consumption + 1e-5) AS fuel_efficiency", readings.fuel_efficiency())
+         "ELSE 'Poor' END AS battery_health", readings.battery_health, False)
+_rowwise("oil_temp_ratio", "oil_pressure / (engine_temperature + 1e-5) AS oil_temp_ratio", readings.oil_temp_ratio)
+_rowwise("fuel_efficiency", "distance_km / (fuel_consumption + 1e-5) AS fuel_efficiency", readings.fuel_efficiency)
 
 
 @query("interactions", """

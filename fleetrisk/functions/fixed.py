@@ -25,6 +25,10 @@ SCORING_INPUTS = [
     "engine_temperature", "oil_pressure", "rpm", "battery_voltage", "distance_km",
     "idle_time_minutes", "max_speed_kmh", "vehicle_age_days", "total_distance",
 ]
+SCORING_COLUMNS = [
+    *SCORING_INPUTS, "engine_stress", "oil_temp_ratio", "daily_usage_intensity", "temp_high_violation",
+    "oil_low_violation", "battery_low_violation",
+]
 
 # Probability edges and advice of the scoring service.
 RISK_LEVELS = [(0.8, "CRITICAL"), (0.6, "HIGH"), (0.4, "MEDIUM")]

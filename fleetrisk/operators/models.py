@@ -219,13 +219,13 @@ def model_metrics(model: PipelineModel, test: DataFrame, name: str, label: str =
 
 
 def compare_models(models: dict[str, PipelineModel], test: DataFrame, label: str = "label") -> tuple[DataFrame, str]:
-    """(one row per model, name of the one with the highest area)."""
+    """(one row per model, name of the one with the highest area; the first one given wins a tie)."""
     table = None
     for name, model in models.items():
         row = model_metrics(model, test, name, label)
         table = row if table is None else table.unionByName(row)
-    best = table.agg(F.max_by("model_name", "roc_auc").alias("best")).first()["best"]
-    return table, best
+    areas = {r["model_name"]: r["roc_auc"] or 0.0 for r in table.select("model_name", "roc_auc").collect()}
+    return table, max(models, key=lambda name: areas[name])
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession, top: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from fleetrisk.functions import fixed, readings
 from fleetrisk.operators.models import predict
 from fleetrisk.operators.quality import split_valid
 
-SCORING_COLUMNS = list(readings.scoring_columns())
+SCORING_COLUMNS = fixed.SCORING_COLUMNS
 
 
 def scoring_features(df: DataFrame) -> DataFrame:
