@@ -6,6 +6,7 @@ from fleetrisk.checks.mart_queries import INPUTS
 from fleetrisk.checks.registry import RUN_DATE, query
 from fleetrisk.operators import models as ml
 from fleetrisk.operators import scoring
+from fleetrisk.operators.features import fill_median
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.operators.training_sets import ordered_split
 from fleetrisk.plans.training import train_and_select
@@ -39,7 +40,8 @@ _trained("train_gbt", "gradient_boosting", maxIter=5, maxDepth=3)
 
 @query("smote_oversample")
 def smote_oversample(spark, sf):
-    made = oversample(views.telemetry(spark, sf).where(F.col("engine_temperature").isNotNull()), "failure_in_next_7d", INPUTS)
+    filled = fill_median(views.telemetry(spark, sf), ["engine_temperature"])
+    made = oversample(filled, "failure_in_next_7d", INPUTS)
     return made.groupBy("failure_in_next_7d", "synthetic").agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in INPUTS])
 
@@ -52,16 +54,15 @@ def feature_select_rf(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    found = ml.grid_search(training_rows(spark, sf), "random_forest", FEATURES, folds=5, balanced=True, refit=False,
+    found = ml.grid_search(training_rows(spark, sf), "random_forest", FEATURES, folds=5, refit=False,
                            grid=[{"numTrees": 5, "maxDepth": d} for d in (3, 5)])
     return ml.scores_table(spark, [found])
 
 
 @query("cross_validate")
 def cross_validate(spark, sf):
-    scores = ml.cross_validate(training_rows(spark, sf), "logistic_regression", FEATURES, grid=[{"maxIter": 20}])
-    table = ml.scores_table(spark, [ml.Search("logistic_regression", {}, 0.0, scores)])
-    return ml.cv_summary(table).withColumn("all_scores", F.to_json("all_scores"))
+    scores = ml.cross_validate(training_rows(spark, sf), "logistic_regression", FEATURES, params={"maxIter": 20})
+    return scores.withColumn("all_scores", F.to_json("all_scores"))
 
 
 def _two_models(past):

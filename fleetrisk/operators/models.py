@@ -138,55 +138,75 @@ def roc_auc(model: PipelineModel, df: DataFrame, label: str) -> float:
     return float(judge.evaluate(model.transform(model_input(df, feature_names(model), label))))
 
 
-def cross_validate(df: DataFrame, family: str, features: list[str], label: str = "label", folds: int = 5,
-                   grid: list[dict] | None = None, balanced: bool = False, share: float | None = None,
-                   parallelism: int = 2, order: dict | None = None) -> list[tuple[dict, int, float]]:
-    """[(parameters, fold, roc_auc)] over expanding time folds; ``share`` oversamples training parts only.
-
-    A fold with one class only has no area and is left out.
+def search(df: DataFrame, grids: dict[str, list[dict]], features: list[str], label: str = "label", folds: int = 5,
+           share: float | None = None, balanced: tuple = ("random_forest",), parallelism: int = 2, refit: bool = True,
+           order: dict | None = None) -> list[Search]:
+    """One Search per family over expanding time folds.
+
+    Folds are the outer loop, so each is prepared (oversampled, imputed, cached) once for all
+    families and parameters, and only one is held at a time. ``share`` oversamples training parts
+    only. A fold with one class only has no area and is left out. Ties go to the earlier point.
     """
+    points = [(family, point) for family, grid in grids.items() for point in grid]
     scores = []
-    keys = [c for c in ("ts", "event_id") if c in df.columns]
     for k, (past, coming) in enumerate(expanding_folds(df, folds, **(order or {}))):
-        if share:
-            past = oversample(past, label, features, share)
-        if balanced:
-            past = with_class_weights(past, label, "_weight")
-        past = model_input(past, features, label, *(["_weight"] if balanced else [])).persist()
-        coming = model_input(coming, features, label, *[c for c in keys if c not in features]).persist()
+        past = _weighted(past, features, label, share, balanced).persist()
+        coming = model_input(coming, features, label).persist()
         try:
             if min(past.select(label).distinct().count(), coming.select(label).distinct().count()) < 2:
                 continue
             prepared = Pipeline(stages=stages(features)).fit(past)
+            ready = prepared.transform(past).select("features", label, "_weight").persist()
 
-            def fit(point: dict) -> tuple[dict, int, float]:
-                head = classifier(family, label, "_weight" if balanced else None, **point).fit(prepared.transform(past))
-                return point, k, roc_auc(PipelineModel([*prepared.stages, head]), coming, label)
+            def fit(job: tuple) -> tuple[str, dict, int, float]:
+                family, point = job
+                head = classifier(family, label, "_weight" if family in balanced else None, **point).fit(ready)
+                return family, point, k, roc_auc(PipelineModel([*prepared.stages, head]), coming, label)
 
             with ThreadPoolExecutor(parallelism) as pool:
-                scores += list(pool.map(fit, grid or [{}]))
+                scores += list(pool.map(fit, points))
+            ready.unpersist()
         finally:
             past.unpersist()
             coming.unpersist()
-    return scores
-
-
-def grid_search(df: DataFrame, family: str, features: list[str], label: str = "label", grid: list[dict] | None = None,
-                refit: bool = True, **cv) -> Search:
-    """Best mean area over the folds, refitted on all rows."""
-    grid = grid if grid is not None else parameter_grid(family)
-    balanced, share = cv.get("balanced", False), cv.get("share")
-    scores = cross_validate(df, family, features, label, grid=grid, **cv)
     if not scores:
         raise ValueError("no fold holds both classes")
-    means = [(sum(s for p, _, s in scores if p == point) / max(sum(p == point for p, _, _ in scores), 1), i)
-             for i, point in enumerate(grid)]
-    score, best = max(means, key=lambda m: (m[0], -m[1]))
-    model = None
+
+    found = []
+    for family, grid in grids.items():
+        own = [(p, k, v) for f, p, k, v in scores if f == family]
+        means = [sum(v for p, _, v in own if p == point) / sum(p == point for p, _, _ in own) for point in grid]
+        best = means.index(max(means))
+        found.append(Search(family, grid[best], means[best], own))
     if refit:
-        data = oversample(df, label, features, share) if share else df
-        model = train(data, family, features, label, balanced=balanced, check=False, **grid[best])
-    return Search(family, grid[best], score, scores, model)
+        data = _weighted(df, features, label, share, balanced).persist()
+        try:
+            for s in found:
+                head = classifier(s.family, label, "_weight" if s.family in balanced else None, **s.params)
+                s.model = Pipeline(stages=[*stages(features), head]).fit(data)
+        finally:
+            data.unpersist()
+    return found
+
+
+def _weighted(df: DataFrame, features: list[str], label: str, share: float | None, balanced: tuple) -> DataFrame:
+    """Training input with a ``_weight``; oversampled if asked for."""
+    rows = oversample(df, label, features, share) if share else df
+    rows = with_class_weights(rows, label, "_weight") if balanced else rows.withColumn("_weight", F.lit(1.0))
+    return model_input(rows, features, label, "_weight")
+
+
+def grid_search(df: DataFrame, family: str, features: list[str], label: str = "label", grid: list[dict] | None = None,
+                **args) -> Search:
+    """Best mean area of one family over the folds, refitted on all rows."""
+    return search(df, {family: grid if grid is not None else parameter_grid(family)}, features, label, **args)[0]
+
+
+def cross_validate(df: DataFrame, family: str, features: list[str], label: str = "label", params: dict | None = None,
+                   **args) -> DataFrame:
+    """One row (model_name, params, mean_score, std_score, all_scores) for one set of parameters."""
+    found = search(df, {family: [params or {}]}, features, label, refit=False, **args)
+    return cv_summary(scores_table(df.sparkSession, found))
 
 
 def scores_table(spark: SparkSession, searches: list[Search]) -> DataFrame:

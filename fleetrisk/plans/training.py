@@ -28,8 +28,8 @@ def train_and_select(readings: DataFrame, target: str = "failure_in_next_7d",
         raise ValueError(f"Target column '{target}' not found in DataFrame")
     table, features = training_table(readings, target)
     past, newest = ordered_split(table, test_share)
-    searches = [ml.grid_search(past, f, features, grid=(grids or {}).get(f), folds=folds, share=share,
-                               balanced=f == "random_forest", parallelism=parallelism) for f in families]
+    searches = ml.search(past, {f: (grids or {}).get(f) or ml.parameter_grid(f) for f in families}, features,
+                         folds=folds, share=share, parallelism=parallelism)
     comparison, best = ml.compare_models({s.family: s.model for s in searches}, newest)
     model = next(s.model for s in searches if s.family == best)
     if path:
