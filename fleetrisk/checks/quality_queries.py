@@ -142,10 +142,8 @@ FROM (SELECT t.*, e.event_type FROM telemetry t JOIN events e ON t.event_id = e.
 def validate_rows(spark, sf):
     events = views.table(spark, sf, "events")
     blank = F.when(F.col("event_type") == "click", "  ").otherwise(F.col("event_type"))
-    t = views.as_readings(events.withColumn("event_type", blank)).select(
-        "event_id", F.lit("x").alias("event_type"), "vehicle_id", "engine_temperature", "oil_pressure")
-    # The event type travels with the reading so that blank text occurs in the checked rows.
-    t = events.select("event_id", blank.alias("event_type")).join(t.drop("event_type"), "event_id")
+    t = views.as_readings(events, event_type=blank).select(
+        "event_id", "event_type", "vehicle_id", "engine_temperature", "oil_pressure")
     return dq.validate_rows(t, _REQUIRED).select("event_id", F.array_join("errors", "; ").alias("errors"), "is_valid")
 
 
@@ -243,8 +241,7 @@ raw AS (SELECT t.*, nullif(e.event_type, 'error') AS unit FROM telemetry t JOIN
 def clean_readings(spark, sf):
     """Every cleaning step in order, on readings with each row given twice."""
     events = views.table(spark, sf, "events")
-    unit = events.select("event_id", F.nullif("event_type", F.lit("error")).alias("unit"))
-    t = views.as_readings(events).join(unit, "event_id").select(
+    t = views.as_readings(events, unit=F.nullif("event_type", F.lit("error"))).select(
         "event_id", "vehicle_id", "ts", "unit", "engine_temperature", "distance_km", "fault_ts",
         F.col("date").cast("string").alias("date"))
     out = cl.clean_readings(t.unionByName(t), categorical=["unit"], numerical=["engine_temperature"], dates=["date"])

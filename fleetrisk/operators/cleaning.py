@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetrisk.functions.numbers import numeric_columns
 from fleetrisk.operators.features import columns_with_nulls, fill_gaps, fill_median
 from fleetrisk.operators.quality import iqr_bounds, value_counts
+from fleetrisk.operators.ranks import exact_quantiles
 from fleetrisk.operators.timeline import on_timeline
 
 __all__ = ["fill_mode", "fill_median", "fill_forward", "fill_gaps", "drop_duplicates", "cap_outliers",
@@ -77,15 +78,17 @@ def clean_readings(df: DataFrame, categorical=(), numerical=(), dates=(), key: s
                    order: tuple = ("ts", "event_id"), layout: dict | None = None, **rank_args) -> DataFrame:
     """Fill nulls (mode, median, else forward), drop duplicates, cap outliers, parse dates.
 
-    The outlier bounds come from the raw rows. The checks are three scalar aggregates; the rows
-    themselves move at most twice: by vehicle (only if something is filled forward) and by content.
+    Outlier bounds and medians come from the raw rows, in one set of passes; what is collected is
+    a few numbers per column. The rows themselves move at most twice: by vehicle (only if
+    something is filled forward) and by content.
     """
-    bounds = iqr_bounds(df, **rank_args)
+    numbers = numeric_columns(df)
+    quartiles = {c: q for c, q in exact_quantiles(df, numbers, [0.25, 0.5, 0.75], **rank_args).items() if q[0] is not None}
+    bounds = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, _, q3) in quartiles.items()}
     holes = columns_with_nulls(df, df.columns)
     out = fill_mode(df, [c for c in holes if c in categorical])
-    out = fill_median(out, [c for c in holes if c in numerical], **rank_args)
+    out = out.select(*[F.coalesce(F.col(c).cast("double"), F.lit(quartiles[c][1])).alias(c)
+                       if c in holes and c in numerical and c in quartiles else F.col(c) for c in out.columns])
     rest = [c for c in holes if c not in categorical and c not in numerical and c not in (key, *order)]
     out = fill_forward(out, rest, key=key, order=order, **(layout or {}))
-    out = drop_duplicates(out)
-    out = cap_outliers(out, bounds={c: b for c, b in bounds.items() if c in numeric_columns(out)})
-    return parse_dates(out, [c for c in dates if c in out.columns])
+    return parse_dates(cap_outliers(drop_duplicates(out), bounds=bounds), [c for c in dates if c in out.columns])

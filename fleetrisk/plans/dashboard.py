@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,18 +44,24 @@ def fleet_kpis(df: DataFrame, run_date: str) -> DataFrame:
 
 
 def weekly_trends(df: DataFrame) -> DataFrame:
-    """Weeks end on, and are named by, their Sunday; weeks without readings are present."""
+    """Weeks end on, and are named by, their Sunday; weeks without readings are present.
+
+    The missing weeks come from the gaps between the weekly rows, so the readings are scanned once.
+    """
     week_end = F.next_day(F.date_sub(F.col("date").cast("date"), 1), "SUN")
-    weeks = df.groupBy(week_end.alias("week")).agg(
+    weeks = df.where(F.col("date").isNotNull()).groupBy(week_end.alias("week")).agg(
         F.avg("failure_in_next_7d").alias("failure_in_next_7d"),
         F.avg("engine_temperature").alias("engine_temperature"),
         F.sum("distance_km").alias("distance_km"),
     )
-    calendar = weeks.agg(F.min("week").alias("a"), F.max("week").alias("b")).where("a is not null").select(
-        F.explode(F.sequence("a", "b", F.expr("interval 7 days"))).alias("week"))
-    return calendar.join(weeks, "week", "left").select(
-        F.col("week").alias("date"), "failure_in_next_7d", "engine_temperature",
-        F.coalesce("distance_km", F.lit(0.0)).alias("distance_km"))
+    following = F.lead("week").over(Window.orderBy("week"))  # one row per week
+    until = F.coalesce(F.date_sub(following, 7), F.col("week"))
+    filled = weeks.withColumn("until", until).select(
+        "*", F.explode(F.sequence("week", "until", F.expr("interval 7 days"))).alias("date"))
+    present = F.col("date") == F.col("week")
+    return filled.select(
+        "date", *[F.when(present, F.col(c)).alias(c) for c in ("failure_in_next_7d", "engine_temperature")],
+        F.when(present, F.coalesce("distance_km", F.lit(0.0))).otherwise(0.0).alias("distance_km"))
 
 
 def vehicle_statistics(df: DataFrame) -> DataFrame:
@@ -120,28 +124,24 @@ def daily_trends(df: DataFrame) -> DataFrame:
 def recommendations(df: DataFrame, first: int = 10, oldest: int = 5) -> DataFrame:
     """The first vehicles seen too hot and too low on oil, and those with the highest mileage.
 
-    Three small top-k lists from one aggregate per vehicle; a vehicle may appear in each.
+    One scan: an aggregate per vehicle, then a top-k per issue that is pruned inside every
+    partition before the few rows left are moved. A vehicle may appear for several issues.
     """
     key = order_key(F.col("ts"), F.col("event_id"))
-    hot = F.col("engine_temperature") > 105
-    low = F.col("oil_pressure") < 30
     per_vehicle = df.groupBy("vehicle_id").agg(
-        F.min(F.when(hot, key)).alias("hot"), F.min(F.when(low, key)).alias("low"),
-        F.max("total_distance").alias("mileage"))
-
-    def advice(rows: DataFrame, texts: tuple) -> DataFrame:
-        issue, severity, text, cost, hours = texts
-        return rows.select(
-            "vehicle_id", F.lit(issue).alias("issue"), F.lit(severity).alias("severity"),
-            F.lit(text).alias("recommendation"), F.lit(cost).alias("estimated_cost"),
-            F.lit(hours).alias("estimated_downtime_hours"))
-
-    return reduce(DataFrame.unionByName, [
-        advice(per_vehicle.where("hot is not null").orderBy("hot").limit(first), fixed.RECOMMEND_TEMPERATURE),
-        advice(per_vehicle.where("low is not null").orderBy("low").limit(first), fixed.RECOMMEND_OIL),
-        advice(per_vehicle.orderBy(F.col("mileage").desc_nulls_last(), "vehicle_id").limit(oldest),
-               fixed.RECOMMEND_MILEAGE),
-    ])
+        F.min(F.when(F.col("engine_temperature") > 105, key)).alias("hot"),
+        F.min(F.when(F.col("oil_pressure") < 30, key)).alias("low"),
+        (-F.max("total_distance")).cast("decimal(38,0)").alias("mileage"))
+    lists = [("hot", first, fixed.RECOMMEND_TEMPERATURE), ("low", first, fixed.RECOMMEND_OIL),
+             ("mileage", oldest, fixed.RECOMMEND_MILEAGE)]
+    names = ["issue", "severity", "recommendation", "estimated_cost", "estimated_downtime_hours"]
+    cells = [F.when(F.col(c).isNotNull(), F.struct(
+        F.col(c).alias("key"), F.lit(size).alias("size"), *[F.lit(v).alias(n) for n, v in zip(names, texts)]))
+        for c, size, texts in lists]
+    rows = per_vehicle.select("vehicle_id", F.explode(F.array_compact(F.array(*cells))).alias("r")).select("vehicle_id", "r.*")
+    rank = F.row_number().over(Window.partitionBy("issue").orderBy("key", "vehicle_id"))
+    ranked = rows.withColumn("rank", rank).where(F.col("rank") <= max(first, oldest))
+    return ranked.where(F.col("rank") <= F.col("size")).select("vehicle_id", *names)
 
 
 def importance_categories(importances: DataFrame, top: int = 20) -> DataFrame:

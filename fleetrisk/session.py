@@ -17,6 +17,8 @@ def build_session(master: str | None = None, app: str = "fleetrisk", **conf) ->
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Call sites of every Column call are of no use here and double the planning time of wide tables.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

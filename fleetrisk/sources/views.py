@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetrisk.functions import fixed
@@ -12,8 +12,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def as_readings(events: DataFrame) -> DataFrame:
-    """Each event as one sensor reading; works on a batch and on a stream."""
+def as_readings(events: DataFrame, **extra: Column) -> DataFrame:
+    """Each event as one sensor reading, with further columns if given; works on a batch and on a stream."""
     e, user = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("bigint")
     dd = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
@@ -37,6 +37,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         F.when(fault, F.col("ts")).alias("fault_ts"),
         F.when(fault, 1).otherwise(0).alias("failure_in_next_7d"),
         F.when(is_error, 1).otherwise(0).alias("failure_in_next_30d"),
+        *[e.alias(n) for n, e in extra.items()],
     )
 
 
