@@ -125,8 +125,8 @@ def table_shape(spark, sf):
 
 
 @query("content_hash", """
-SELECT count(*) AS n_records, cast(sum(('0x' || substr(h, 1, 8))::bigint) AS bigint) AS hash_high,
-  cast(sum(('0x' || substr(h, 9, 8))::bigint) AS bigint) AS hash_low
+SELECT count(*) AS n_records, cast(sum(('0x' || substr(h, 1, 8))::bigint) % 9007199254740992 AS bigint) AS hash_high,
+  cast(sum(('0x' || substr(h, 9, 8))::bigint) % 9007199254740992 AS bigint) AS hash_low
 FROM (SELECT md5('0=' || event_id || '|1=' || user_id || '|2=' || event_type || '|3=' || props) AS h FROM events) AS e""")
 def content_hash(spark, sf):
     return dq.content_hash(views.table(spark, sf, "events"), ["event_id", "user_id", "event_type", "props"])

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetrisk.functions import fixed
@@ -109,20 +109,23 @@ def classification_report(df, label="label", prediction="prediction") -> DataFra
         "label", ratio_or_zero(F.col("hit"), F.col("said")).alias("precision"),
         ratio_or_zero(F.col("hit"), F.col("support")).alias("recall"),
         ratio_or_zero(2 * F.col("hit"), F.col("said") + F.col("support")).alias("f1_score"), "support", "hit")
-    n = F.sum("support")
-    whole = scored.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in ("precision", "recall", "f1_score")],
-        *[ratio_or_zero(F.sum(F.col(c) * F.col("support")), n).alias(f"w_{c}") for c in ("precision", "recall", "f1_score")],
-        ratio_or_zero(F.sum("hit"), n).alias("acc"), n.alias("n"))
-    summary = whole.select(F.explode(F.array(
-        F.struct(F.lit("accuracy").alias("label"), F.col("acc").alias("precision"), F.col("acc").alias("recall"),
-                 F.col("acc").alias("f1_score"), F.col("n").alias("support")),
-        F.struct(F.lit("macro avg").alias("label"), F.col("m_precision").alias("precision"),
-                 F.col("m_recall").alias("recall"), F.col("m_f1_score").alias("f1_score"), F.col("n").alias("support")),
-        F.struct(F.lit("weighted avg").alias("label"), F.col("w_precision").alias("precision"),
-                 F.col("w_recall").alias("recall"), F.col("w_f1_score").alias("f1_score"), F.col("n").alias("support")),
-    )).alias("r")).select("r.*")
-    return scored.drop("hit").unionByName(summary)
+    # The averages are windows over one row per class; the first class carries the summary rows.
+    rates = ("precision", "recall", "f1_score")
+    whole = Window.partitionBy()
+    n = F.sum("support").over(whole)
+    hits = F.sum("hit").over(whole)
+
+    def row(name, values, support):
+        return F.struct(name.alias("label"), *[v.alias(c) for c, v in zip(rates, values)], support.alias("support"))
+
+    accuracy = ratio_or_zero(hits, n)
+    macro = [F.avg(c).over(whole) for c in rates]
+    weighted = [ratio_or_zero(F.sum(F.col(c) * F.col("support")).over(whole), n) for c in rates]
+    wide = scored.select("*", row(F.lit("accuracy"), [accuracy] * 3, n).alias("a"), row(F.lit("macro avg"), macro, n).alias("m"),
+                         row(F.lit("weighted avg"), weighted, n).alias("w"),
+                         F.row_number().over(Window.orderBy("label")).alias("i"))
+    own = row(F.col("label"), [F.col(c) for c in rates], F.col("support"))
+    return wide.select(F.explode(F.when(F.col("i") == 1, F.array(own, "a", "m", "w")).otherwise(F.array(own))).alias("r")).select("r.*")
 
 
 # -- money ------------------------------------------------------------------------------------------

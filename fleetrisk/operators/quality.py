@@ -153,15 +153,14 @@ def categorical_profile(df: DataFrame, cols: list[str] | None = None, first: int
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     counts = value_counts(df, cols)
-    totals = counts.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
+    totals = counts.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n_unique"), F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("top"))
     by_value = Window.partitionBy("column").orderBy("value")
-    by_count = Window.partitionBy("column").orderBy(F.col("n").desc(), "value")
     heads = (counts.withColumn("r", F.row_number().over(by_value)).where(F.col("r") <= first)
              .groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("unique_values")))
-    tops = counts.withColumn("r", F.row_number().over(by_count)).where("r = 1").select(
-        "column", F.col("value").alias("top_value"), F.col("n").alias("top_frequency"))
-    return totals.join(tops, "column").join(heads, "column").select(
-        "column", "n_unique", "top_value", "top_frequency", "unique_values")
+    return totals.join(heads, "column").select(
+        "column", "n_unique", F.col("top.value").alias("top_value"), (-F.col("top.n")).alias("top_frequency"),
+        "unique_values")
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -182,12 +181,11 @@ def content_hash(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                               for i, c in enumerate(cols)])
     digest = F.md5(text)
 
-    def part(start):
-        return F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
+    def total(start):  # decimals: a bigint sum of 32-bit digests overflows after two billion rows
+        part = F.conv(F.substring(digest, start, 8), 16, 10).cast("decimal(20,0)")
+        return (F.coalesce(F.sum(part), F.lit(0)) % F.lit(2 ** 53)).cast("bigint")
 
-    return df.agg(F.count(F.lit(1)).alias("n_records"),
-                  F.coalesce(F.sum(part(1)), F.lit(0)).alias("hash_high"),
-                  F.coalesce(F.sum(part(9)), F.lit(0)).alias("hash_low"))
+    return df.agg(F.count(F.lit(1)).alias("n_records"), total(1).alias("hash_high"), total(9).alias("hash_low"))
 
 
 def row_errors(df: DataFrame, required: list[str]) -> Column:

@@ -29,18 +29,21 @@ def select_features(df: DataFrame, target: str, drop=()) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cut:
-    """A point of the (ts, seq) order; rows before it are a plain filter that reaches the scan."""
+    """A point of the (ts, seq) order. The rows before it are a comparison of bare columns with
+    literals, so the filter reaches the scan and skips row groups."""
 
     ts: str
     seq: str
-    micros: int | None
-    number: int | None
+    kind: str
+    micros: int | None = None
+    number: int | None = None
 
     def before(self) -> Column:
         if self.micros is None:
             return F.lit(True)
-        ts = F.unix_micros(F.col(self.ts).cast("timestamp"))
-        return (ts < self.micros) | ((ts == self.micros) & (F.col(self.seq) < self.number))
+        at = F.timestamp_micros(F.lit(self.micros)).cast(self.kind)
+        ts = F.col(self.ts)
+        return (ts < at) | ((ts == at) & (F.col(self.seq) < self.number))
 
 
 def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str = "event_id",
@@ -51,7 +54,8 @@ def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str
     counts move, the rows are never sorted or shuffled.
     """
     inside = sorted({r for r in ranks if r < rows})
-    cuts = {r: Cut(ts, seq, None, None) for r in ranks if r >= rows}
+    kind = dict(df.dtypes)[ts]
+    cuts = {r: Cut(ts, seq, kind) for r in ranks if r >= rows}
     if inside:
         micros = F.unix_micros(F.col(ts).cast("timestamp"))
         at = values_at_ranks(df, micros, inside, fit_rows)
@@ -62,7 +66,7 @@ def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str
             n, number = single[time]
             if n > 1 and r > below:
                 number = values_at_ranks(df.where(micros == time), F.col(seq), [r - below], fit_rows)[r - below][0]
-            cuts[r] = Cut(ts, seq, time, number)
+            cuts[r] = Cut(ts, seq, kind, time, number)
     return [cuts[r] for r in ranks]
 
 
