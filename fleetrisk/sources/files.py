@@ -38,10 +38,17 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | str | N
 
 
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """CSV with a header or parquet by extension, replacing what is there."""
+    """CSV with a header or parquet by extension, replacing what is there.
+
+    With ``partition_by`` the rows are rebalanced on those columns first: few files per folder,
+    and adaptive execution splits a folder that holds much of the data over several tasks.
+    """
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if kind not in ("csv", "parquet"):
         raise ValueError("Unsupported file format. Use CSV or Parquet.")
+    partition_by = list(partition_by)
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode("overwrite").partitionBy(*partition_by)
     if kind == "csv":
         writer.option("header", True).csv(path)

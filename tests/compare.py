@@ -28,6 +28,10 @@ def rows_of(columns, data):
     return sorted((tuple(_plain(r[i]) for i in order) for r in data), key=repr)
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN"}
+
+
 def difference(df, con, sql):
     """None if both have the same columns, kinds of types and rows."""
     cur = con.execute(sql)
@@ -35,6 +39,10 @@ def difference(df, con, sql):
     want = cur.fetchall()
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    kinds = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = {c: (t, kinds[c]) for c, t in df.dtypes if TYPES.get(t) != kinds[c]}
+    if wrong:
+        return f"types differ: {wrong}"
     got = [tuple(r) for r in df.collect()]
     a, b = rows_of(df.columns, got), rows_of(names, want)
     if len(a) != len(b):
