@@ -89,11 +89,12 @@ def train(df: DataFrame, family: str, features: list[str], label: str = "label",
     """One model; ``balanced`` weights the classes equally."""
     if not features:
         raise ValueError("training needs at least one feature")
-    if check:
-        check_training_data(df, label)
     weight = "_weight" if balanced else None
-    data = model_input(with_class_weights(df, label, "_weight") if balanced else df, features, label,
-                       *([weight] if weight else []))
+    if balanced:  # the class counts double as the check
+        df = with_class_weights(df, label, weight, classes=2 if check else 1)
+    elif check:
+        check_training_data(df, label)
+    data = model_input(df, features, label, *([weight] if weight else []))
     # The fit passes over its input many times; executors that are lost recompute their part.
     data = data.persist()
     try:

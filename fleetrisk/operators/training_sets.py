@@ -60,12 +60,13 @@ def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str
         micros = F.unix_micros(F.col(ts).cast("timestamp"))
         at = values_at_ranks(df, micros, inside, fit_rows)
         times = sorted({v for v, _ in at.values()})
-        single = {r["m"]: (r["n"], r["first"]) for r in df.where(micros.isin(times)).groupBy(micros.alias("m")).agg(
+        found = F.col(ts).isin(*[F.timestamp_micros(F.lit(t)).cast(kind) for t in times])
+        single = {r["m"]: (r["n"], r["first"]) for r in df.where(found).groupBy(micros.alias("m")).agg(
             F.count(F.lit(1)).alias("n"), F.min(seq).alias("first")).collect()}  # one row per cut
         for r, (time, below) in at.items():
             n, number = single[time]
             if n > 1 and r > below:
-                number = values_at_ranks(df.where(micros == time), F.col(seq), [r - below], fit_rows)[r - below][0]
+                number = values_at_ranks(df.where(F.col(ts) == F.timestamp_micros(F.lit(time)).cast(kind)), F.col(seq), [r - below], fit_rows)[r - below][0]
             cuts[r] = Cut(ts, seq, kind, time, number)
     return [cuts[r] for r in ranks]
 
@@ -96,9 +97,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
                          (F.sum("n").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("n"))).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, weight: str = "weight", classes: int = 1) -> DataFrame:
     """df with the balanced weight of its class, as a literal expression (one entry per class)."""
-    found = class_weights(df, label).collect()
+    found = class_weights(df.where(F.col(label).isNotNull()), label).collect()
+    if len(found) < classes:
+        raise ValueError(f"training needs rows of {classes} classes")
     out = F.lit(None).cast("double")
     for r in found:
         out = F.when(F.col(label) == F.lit(r["label"]), F.lit(float(r["weight"]))).otherwise(out)
