@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetrisk.llm.common import table
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.quality import quality_rules
+from fleetrisk.llm.simhash import near_duplicates
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
 
 QUERIES, SQL = {}, {}
@@ -84,3 +85,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *[number(k).alias(f"n_{k}") for k in KINDS[:3]],
                        F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
                        listed(F.col("secret_spans")).alias("spans"))
+
+
+@query("op4_simhash")
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of four-word shingles, linked at four differing bits or fewer."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
