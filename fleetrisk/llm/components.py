@@ -38,9 +38,9 @@ def _ordered(edges: DataFrame) -> DataFrame:
 
 
 def _follow(rows: DataFrame, column: str, to: DataFrame) -> DataFrame:
-    """rows, of two columns, with the nodes of one replaced by what they point at."""
+    """rows, of two columns, with the nodes of one replaced by what they point at; a hub may point at itself."""
     other = next(c for c in rows.columns if c != column)
-    moved = to.filter(F.col("node") != F.col("to")).select(F.col("node").alias(column), F.col("to").alias("_next"))
+    moved = to.select(F.col("node").alias(column), F.col("to").alias("_next"))
     copies = rows.groupBy(column).agg(F.count("*").alias("_copies"))
     found = lookup(rows, moved.join(copies, column), [column], "_copies", other, ["_next"])
     return found.withColumn(column, F.coalesce("_next", column)).select(*rows.columns)
