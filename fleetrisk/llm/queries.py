@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from fleetrisk.llm.common import table
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.quality import quality_rules
-from fleetrisk.llm.simhash import near_duplicates
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
+from fleetrisk.llm.simhash import near_duplicates
+from fleetrisk.llm.tokens import count_tokens
+from fleetrisk.session import scratch_path
 
 QUERIES, SQL = {}, {}
 
@@ -91,3 +93,14 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of four-word shingles, linked at four differing bits or fewer."""
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op6_token_counts")
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text; the cache is a new one for each call, so that each distinct text is encoded once."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    out = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "token_cache"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
