@@ -9,8 +9,10 @@ from fleetrisk.llm.common import table
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.quality import quality_rules
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
+from fleetrisk.llm.sharding import shard
 from fleetrisk.llm.simhash import near_duplicates
 from fleetrisk.llm.tokens import count_tokens
+from fleetrisk.llm.warc import read_warc, write_warc
 from fleetrisk.session import scratch_path
 
 QUERIES, SQL = {}, {}
@@ -104,3 +106,27 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     out = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "token_cache"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of nearly equal bytes, equal texts side by side."""
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.xxhash64("text").alias("_text"))
+    out = shard(docs, 8, F.col("size"), F.col("_text"), F.xxhash64("doc_id"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+d AS (SELECT *, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    path = scratch_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path, payloads=False).drop("url", "payload")
