@@ -118,9 +118,11 @@ def _shard_cuts(rows: DataFrame, bounds: list[str], stats: dict, shards: int, to
     for r in sorted(stats):
         starts[r], at = at, at + stats[r][0]
     wanted = [k * total / shards for k in range(1, shards)]
-    cut_in = {r for r, s in starts.items() for w in wanted if s <= w <= s + stats[r][0]}
-    if not total or not cut_in:
+    if not total:
         return []
+    # A cut may fall behind the middle of a range's last record; then the next range begins with it.
+    near = [r for r, s in starts.items() if any(s <= w <= s + stats[r][0] for w in wanted)]
+    cut_in = {x for r in near for x in (r, min((y for y in starts if y > r), default=r))}
     before = F.create_map(*[F.lit(x) for r in cut_in for x in (r, starts[r])])
     inside = rows.withColumn("_range", range_of(F.col("_key"), bounds)).filter(F.col("_range").isin(*cut_in))
     running = F.sum("_weight").over(Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0))
