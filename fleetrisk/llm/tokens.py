@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from fleetrisk.llm.common import lookup, staged
 
 #: Pieces whose counts a task remembers; then it starts anew.
-MEMO = 400_000
+MEMO = 200_000
+#: Characters that are cut into pieces at once.
+PORTION = 1_000_000
 _CACHE = "tokenizer string, _h long, _digest binary, n_tokens long"
 #: White space next to white space, or any character beyond the Latin letters: such texts are encoded as a whole.
 _WHOLE = re.compile(r"\s\s|[^\x00-\x7f\xc0-ɏ]")
@@ -46,7 +48,18 @@ class Counter:
         return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __call__(self, texts: list[str]) -> list[int]:
-        cut = [None if _WHOLE.search(t) else t.replace(" ", "\0 ").split("\0") if "\0" not in t else None for t in texts]
+        """The counts, worked out for about PORTION characters at a time."""
+        counts, portion, size = [], [], 0
+        for text in texts:
+            portion.append(text)
+            size += len(text)
+            if size > PORTION:
+                counts += self._portion(portion)
+                portion, size = [], 0
+        return counts + self._portion(portion)
+
+    def _portion(self, texts: list[str]) -> list[int]:
+        cut = [None if _WHOLE.search(t) or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
