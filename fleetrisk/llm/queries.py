@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import table
+from fleetrisk.llm.decontaminate import find_contamination
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.quality import quality_rules
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
 from fleetrisk.llm.sharding import shard
 from fleetrisk.llm.simhash import near_duplicates
 from fleetrisk.llm.tokens import count_tokens
+from fleetrisk.llm.toxicity import toxicity, train
 from fleetrisk.llm.warc import read_warc, write_warc
 from fleetrisk.session import scratch_path
 
@@ -130,3 +132,22 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
     return read_warc(spark, path, payloads=False).drop("url", "payload")
+
+
+@query("op1_decontamination")
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents, with up to a tenth of their characters edited."""
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def held_out(id_: str) -> Column:
+    return F.crc32(F.col(id_).cast("string").cast("binary")) % 3 == 1
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by a model of the labels of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    out = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity(F.col("text"), model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
