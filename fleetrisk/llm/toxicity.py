@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +23,14 @@ DECAY, SPAN = 0.7, 7
 WINDOW = 24
 #: Strings whose decision values a task remembers; then it starts anew.
 MEMO = 300_000
+#: What the errors of all toxic strings may cost next to the squared length of the weights; clean ones three times as much.
+C = 10_000.0
+#: How much more frequent a string is in toxic texts to be taken for toxic.
+TELLING = 10
+#: Its bags times the logarithm of that ratio must reach this, and this share of the most telling string's.
+CLEAR, SHARE = 10.0, 0.1
+#: The most telling strings, of which misspelled copies are learned too.
+VARIED = 60
 
 # Characters that are written for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -122,7 +130,9 @@ class Model:
         return np.array([max(map(value, bag), default=self.bias) for bag in bags])
 
     def probabilities(self, bags: list[set[str]]) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * self.highest(bags) + self.shift, -500, 500)))
+        """Beyond the margin a string is not more toxic."""
+        high = np.clip(self.highest(bags), -1.0, 1.5)
+        return 1 / (1 + np.exp(-np.clip(self.slope * high + self.shift, -500, 500)))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -151,14 +161,53 @@ def _platt(f: np.ndarray, y: np.ndarray, c: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _landmarks(strings: list[str], most: int, marks: list[str], vectors: list[np.ndarray]) -> tuple[list, list]:
+    """marks and vectors with the first of the strings added that are not much like one of them."""
+    for s in (s[:WINDOW] for s in strings[:6 * most]):
+        if len(marks) >= most:
+            break
+        codes = _coded([s])[0]
+        if (codes > 0).sum() >= 3:
+            v = _features(codes[0])
+            if all(v @ u <= 0.9 * np.sqrt((u @ u) * (v @ v)) for u in vectors):
+                marks, vectors = [*marks, s], [*vectors, v]
+    return marks, vectors
+
+
+def _variants(string: str) -> list[str]:
+    """A string, the string with a character inserted at each inner place, and the string spelled out."""
+    inner = range(1, len(string)) if len(string) < WINDOW // 2 else ()
+    return [string] + [string[:i] + c + string[i:] for i in inner for c in "*x"] + ([" ".join(string)] if inner else [])
+
+
+def _distinct(bags: list[set[str]]) -> list[int]:
+    """The places of bags that don't share half of their strings with an earlier one found by one of four least hashes."""
+    kept, seen, hashes = [], defaultdict(list), {}
+    for n, bag in enumerate(bags):
+        values = np.array([hashes.setdefault(u, hash_of(u)) for u in bag], np.uint64)
+        keys = [(i, int((values * np.uint64(f)).min())) for i, f in enumerate((1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
+                                                                            0x165667B19E3779F9))] if bag else []
+        near = {m for k in keys for m in seen[k]}
+        if all(len(bag & bags[m]) * 2 < len(bag | bags[m]) for m in near):
+            kept.append(n)
+            for k in keys:
+                seen[k].append(n)
+    return kept
+
+
 def fit(bags: list[set[str]], toxic: list[int], shares: tuple[float, float]) -> Model:
     """Fits the model to labelled bags of strings: a toxic bag has a toxic string, a clean one has none.
 
-    Which string that is, the model says itself: each round takes the highest one of each toxic bag as its witness, leaves
-    out bags of which even that is far on the clean side (their labels may be wrong), and adds the highest strings
-    of clean bags. Landmarks are the strings that tell the classes apart best and as many clean ones by hash.
-    shares are the rows that a clean and a toxic bag stand for.
+    The toxic strings are those that TELLING times as many toxic bags as clean ones have, by a clear margin, or the most
+    telling one of each toxic bag if there are none.
+    Bags without any may be labelled wrongly and teach nothing. Each comes with copies into which a
+    character is inserted or that are spelled out. Clean bags give their most frequent strings, others by hash,
+    and in each round the highest. Landmarks are the most telling strings and as many clean ones, none much like another.
+    shares are the rows that a clean and a toxic bag stand for. Near copies of a bag count once, so that a
+    wrong label that many copies share isn't believed.
     """
+    alone = _distinct(bags)
+    bags, toxic = [bags[n] for n in alone], [toxic[n] for n in alone]
     y = np.array(toxic)
     if len(set(toxic)) < 2:
         sure = 30.0 if toxic and toxic[0] else -30.0
@@ -167,13 +216,12 @@ def fit(bags: list[set[str]], toxic: list[int], shares: tuple[float, float]) ->
     in_pos, in_neg = Counter(u for b in pos for u in b), Counter(u for b in neg for u in b)
     rate = lambda u: (in_pos[u] + 0.5) / (len(pos) + 1) / ((in_neg[u] + 0.5) / (len(neg) + 1))
     telling = {u: n * np.log(rate(u)) for u, n in in_pos.items() if n > 1 or len(pos) < 50}
-    order = lambda u: hash_of(u)
-    clean = sorted(in_neg, key=order)
-    marks = sorted(telling, key=lambda u: (-telling[u], u))[:LANDMARKS // 2] + clean[:LANDMARKS // 2]
-    marks = [m for m in dict.fromkeys(m[:WINDOW] for m in marks) if (_coded([m])[0] > 0).sum() >= 3]
+    clean = sorted(in_neg, key=hash_of)
+    ranked = sorted(telling, key=lambda u: (-telling[u], u))
+    marks, vectors = _landmarks(ranked, LANDMARKS // 2, [], [])
+    marks, vectors = _landmarks(clean, LANDMARKS, marks, vectors)
     if not marks:
         return Model(np.zeros(27**3), 0.0, 0.0, float(np.log(max(1e-9, y.mean() / (1 - y.mean())))))
-    vectors = [_features(_coded([m])[0][0]) for m in marks]
     gram = np.array(vectors) @ np.array(vectors).T
     values, base = np.linalg.eigh(gram)
     keep = values > 1e-4 * values.max()
@@ -184,22 +232,21 @@ def fit(bags: list[set[str]], toxic: list[int], shares: tuple[float, float]) ->
         product, norm = _products(codes, vectors)
         return product / norm[:, None] @ white
 
-    negatives = list(dict.fromkeys(clean[:6_000] + [u for u, n in in_neg.most_common(2_000)]))
-    witnesses = [max(b, key=lambda u: (telling.get(u, 0.0), u)) for b in pos if b]
-    x_neg = mapped(negatives)
-    for _ in range(4):
-        x_pos = mapped(witnesses)
+    negatives = list(dict.fromkeys(clean[:4_000] + [u for u, n in in_neg.most_common(1_500)]))
+    clear = max(CLEAR, SHARE * max(telling.values(), default=0.0))
+    strings = [u for u in ranked if rate(u) >= TELLING and telling[u] >= clear]
+    strings = strings or sorted({max(b, key=lambda u: (telling.get(u, 0.0), u)) for b in pos if b})
+    x_pos, x_neg = mapped([v for n, u in enumerate(strings) for v in (_variants(u) if n < VARIED else [u])]), mapped(negatives)
+    for _ in range(5):
         x, side = np.vstack([x_pos, x_neg]), np.repeat([1.0, -1.0], [len(x_pos), len(x_neg)])
-        c = np.where(side > 0, 20.0 / len(x_pos), 60.0 / len(x_neg)) * 10
-        w, bias = _svm(x, side, c)
+        w, bias = _svm(x, side, np.where(side > 0, C / len(x_pos), 3 * C / len(x_neg)))
         model = Model((white @ w) @ np.array(vectors), bias, 1.0, 0.0)
-        high = model.highest(pos)
-        witnesses = [max(b, key=lambda u: (model.memo[u], u)) for b, h in zip(pos, high) if b and h > -0.5] or witnesses
-        hard = [max(b, key=lambda u: (model.memo[u], u)) for b, h in zip(neg, model.highest(neg)) if b and h > -0.9]
-        hard = [u for u in dict.fromkeys(hard) if u not in set(negatives) and rate(u) < 5][:2_000]
+        top = lambda b: max(b, key=lambda u: (model.memo[u], u))
+        hard = [top(b) for b, h in zip(neg, model.highest(neg)) if b and h > -0.9]
+        hard = [u for u in dict.fromkeys(hard) if u not in set(negatives) and rate(u) < TELLING][:1_000]
         if hard:
             negatives, x_neg = negatives + hard, np.vstack([x_neg, mapped(hard)])
-    model.slope, model.shift = _platt(model.highest(bags), y, np.where(y > 0, shares[1], shares[0]))
+    model.slope, model.shift = _platt(np.clip(model.highest(bags), -1.0, 1.5), y, np.where(y > 0, shares[1], shares[0]))
     model.memo = {}
     return model
 
