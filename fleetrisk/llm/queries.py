@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fleetrisk.llm.common import table
 from fleetrisk.llm.decontaminate import find_contamination
 from fleetrisk.llm.lines import dedup_lines
+from fleetrisk.llm.packing import pack
 from fleetrisk.llm.quality import quality_rules
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
 from fleetrisk.llm.sharding import shard
@@ -151,3 +152,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels").filter(~held_out("doc_id")))
     out = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity(F.col("text"), model).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op2_best_fit_packing")
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, in words, packed into sequences of 512 to 4096."""
+    return pack(table(spark, sf_dir, "documents"))
