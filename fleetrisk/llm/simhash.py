@@ -157,7 +157,7 @@ def _edges(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
                     bits: int = 4) -> DataFrame:
-    """One row for each of docs: _k1, _k2, id_col, fingerprint, component_id.
+    """One row for each of docs: _k1, _k2, id_col, fingerprint, component_id, and _root, which names the component.
 
     Texts are linked whose fingerprints differ in at most `bits` (4 or fewer) bits; component_id is the smallest id
     reachable over links, the own one included. A text without a word, a null one too, has fingerprint zero and is linked
@@ -171,6 +171,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rooted = staged(fps.join(linked, "_fp", "left").withColumn("root", F.coalesce("root", "_fp")), "rooted")
     least = rooted.groupBy("root").agg(F.min("_least").alias("_component"), F.count("*").alias("_fps"))
     known = lookup(rooted, least, ["root"], "_fps", "_fp", ["_component"])
-    found = lookup(rows, staged(known, "known"), ["_fp"], "_copies", "_k1", ["_component"])
+    found = lookup(rows, staged(known, "known"), ["_fp"], "_copies", "_k1", ["_component", "root"])
     return found.select("_k1", "_k2", F.col("_id").alias(id_col), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"),
-                        F.col("_component").alias("component_id"))
+                        F.col("_component").alias("component_id"), F.col("root").alias("_root"))
