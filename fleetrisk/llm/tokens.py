@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -13,13 +12,9 @@ from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import lookup, staged
 
-#: Pieces whose counts a task remembers; then it starts anew.
-MEMO = 200_000
-#: Characters that are cut into pieces at once.
-PORTION = 1_000_000
+#: Characters that are encoded at once.
+PORTION = 500_000
 _CACHE = "tokenizer string, _h long, _digest binary, n_tokens long"
-#: White space next to white space, or any character beyond the Latin letters: such texts are encoded as a whole.
-_WHOLE = re.compile(r"\s\s|[^\x00-\x7f\xc0-ɏ]")
 
 
 def tokenizer_digest(path: str) -> str:
@@ -30,25 +25,17 @@ def tokenizer_digest(path: str) -> str:
 
 
 class Counter:
-    """Counts the tokens of texts with the tokenizers library, without begin or end tokens.
-
-    The pre-tokenizer never joins a character that is no white space with a space after it. So a text in which
-    white space stands alone is cut before its spaces, and the counts of the pieces, most of which come again,
-    are remembered and added up. Other texts are encoded as a whole.
-    """
+    """Counts the tokens of whole texts with the tokenizers library, without begin or end tokens."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def _encode(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
     def __call__(self, texts: list[str]) -> list[int]:
-        """The counts, worked out for about PORTION characters at a time."""
+        """The counts; about PORTION characters are encoded at a time."""
         counts, portion, size = [], [], 0
         for text in texts:
             portion.append(text)
@@ -59,14 +46,7 @@ class Counter:
         return counts + self._portion(portion)
 
     def _portion(self, texts: list[str]) -> list[int]:
-        cut = [None if _WHOLE.search(t) or "\0" in t else t.replace(" ", "\0 ").split("\0") for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        memo = self.memo
-        new = list({p for pieces in cut if pieces for p in pieces if p not in memo})
-        memo.update(zip(new, self._encode(new)))
-        whole = iter(self._encode([t for t, pieces in zip(texts, cut) if pieces is None]))
-        return [next(whole) if pieces is None else sum(map(memo.__getitem__, pieces)) for pieces in cut]
+        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 class TokenCache:
