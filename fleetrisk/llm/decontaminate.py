@@ -52,7 +52,10 @@ class Matcher:
     """Finds items within a share of edits in texts.
 
     An item with an error budget of k is split into k + 1 pieces: k edits leave one of them whole. All pieces of all
-    items are looked for in one walk over the text; where one is hit, the surroundings are verified.
+    items are looked for in one walk over the text. In a match, m neighbouring pieces that hold fewer than m errors split
+    into two parts of which one again holds fewer errors than pieces; so of the pieces left whole there is one around
+    which 2, 4 and 8 pieces, counted off from the first, match with fewer errors than pieces too. A hit is verified in
+    these steps, which end nearly all chance hits early, and then as a whole.
     """
 
     def __init__(self, items: list[tuple[int, str]], rate: float, least_chars: int):
@@ -63,8 +66,11 @@ class Matcher:
                 continue
             budget = int(len(text) * rate)
             cuts = [len(text) * i // (budget + 1) for i in range(budget + 2)]
-            for a, b in zip(cuts, cuts[1:]):
-                places[text[a:b]].append((len(self.items), a))
+            around = [[_Part(text, cuts, j - j % m, min(budget + 1, j - j % m + m)) for j in range(0, budget + 1, m)]
+                      for m in (2, 4, 8) if m < budget + 1]
+            for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                steps = [parts[j // m] for parts, m in zip(around, (2, 4, 8))]
+                places[text[a:b]].append((len(self.items), a, [p for p in steps if p.budget]))
             self.items.append((item_id, text, budget, _masks(text), _masks(text[::-1])))
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -77,13 +83,17 @@ class Matcher:
             return []
         text, starts = normalised(text), defaultdict(set)
         for last, (size, where) in self.automaton.iter(text):
-            for item, offset in where:
-                starts[item].add(last + 1 - size - offset)
+            for item, offset, steps in where:
+                start = last + 1 - size - offset
+                if start not in starts[item] and all(p.near(text, start) for p in steps):
+                    starts[item].add(start)
         found = []
         for item, places in starts.items():
             item_id, pattern, budget, forward, backward = self.items[item]
             best, end = budget + 1, 0
-            for at, to in _windows(sorted(places), len(pattern), budget, len(text)):
+            if (at := text.find(pattern)) >= 0 and places:
+                best, end = 0, at + len(pattern)
+            for at, to in _windows(sorted(places), len(pattern), budget, len(text)) if best else ():
                 distance, stop = _best_end(text, at, to, forward, len(pattern))
                 if distance < best:
                     best, end = distance, stop
@@ -94,6 +104,18 @@ class Matcher:
         return found
 
 
+class _Part:
+    """Neighbouring pieces of an item, and whether they are near their place with fewer errors than pieces."""
+
+    def __init__(self, text: str, cuts: list[int], first: int, last: int):
+        self.at, self.to, self.budget = cuts[first], cuts[last], last - first - 1
+        self.masks = _masks(text[self.at:self.to])
+
+    def near(self, text: str, start: int) -> bool:
+        at, to = max(0, start + self.at - self.budget), min(len(text), start + self.to + self.budget)
+        return to > at and _best_end(text, at, to, self.masks, self.to - self.at)[0] <= self.budget
+
+
 def _windows(starts: list[int], size: int, budget: int, length: int) -> Iterator[tuple[int, int]]:
     """The parts of the text in which an item may lie that starts near one of the places; near ones are merged."""
     at = to = None
