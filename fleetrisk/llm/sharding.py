@@ -106,7 +106,7 @@ def shard(docs: DataFrame, shards: int, size: Column, group: Column, order: Colu
         before[own] += stats[r][1]
     # One row for each range, of which there are a set number.
     places = docs.sparkSession.createDataFrame(places, "_range int, shard int, _before long")
-    out = docs.drop("shard", "slot").withColumn("_key", key).withColumn("_range", range_of(F.col("_key"), bounds))
+    out = docs.withColumn("_key", key).drop("shard", "slot").withColumn("_range", range_of(F.col("_key"), bounds))
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
     out = out.withColumn("_place", place).join(F.broadcast(places), "_range")
     return out.withColumn("slot", F.col("_before") + F.col("_place") - 1).drop("_key", "_range", "_place", "_before")
