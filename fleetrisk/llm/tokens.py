@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pandas as pd
@@ -24,15 +26,23 @@ def tokenizer_digest(path: str) -> str:
     return hashlib.sha256(Path(path).read_bytes() + tokenizers.__version__.encode()).hexdigest()
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """One tokenizer for each worker process, without threads of its own: Spark's tasks share out the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Counter:
     """Counts the tokens of whole texts with the tokenizers library, without begin or end tokens."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = _tokenizer(path)
 
     def __call__(self, texts: list[str]) -> list[int]:
         """The counts; about PORTION characters are encoded at a time."""
