@@ -158,11 +158,11 @@ _CATALOG = ", ".join(f"('{f}', '{c}')" for c, names in fixed.FEATURE_CATALOG.ite
 
 
 @query("feature_catalog", f"""
-SELECT i.feature, c.category, 'High' AS business_impact, '' AS description, i.importance
-FROM (VALUES {_CATALOG}) AS c(feature, category) JOIN importances i ON i.feature = c.feature""", "importance", CORRELATED)
+SELECT c.feature, c.category, 'High' AS business_impact, '' AS description, i.importance
+FROM (VALUES {_CATALOG}) AS c(feature, category) LEFT JOIN importances i ON i.feature = c.feature""", "importance", CORRELATED)
 def feature_catalog(spark, sf):
-    """The documented features with the importances found in the data."""
-    return fe.feature_catalog(spark).join(importances(spark, sf), "feature")
+    """The documented features, with the importances of those found in the data."""
+    return fe.feature_catalog(spark).join(importances(spark, sf), "feature", "left")
 
 
 # -- gap filling ------------------------------------------------------------------------------------

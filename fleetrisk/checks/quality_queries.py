@@ -245,5 +245,4 @@ def clean_readings(spark, sf):
         "event_id", "vehicle_id", "ts", "unit", "engine_temperature", "distance_km", "fault_ts",
         F.col("date").cast("string").alias("date"))
     out = cl.clean_readings(t.unionByName(t), categorical=["unit"], numerical=["engine_temperature"], dates=["date"])
-    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c == "date" else
-                        F.col(c).cast("bigint").alias(c) if c == "event_id" else F.col(c) for c in out.columns])
+    return out.withColumn("date", F.col("date").cast("timestamp_ntz"))

@@ -36,6 +36,15 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
+def finite_columns(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """df with NaN and infinities of its floating columns (or those of cols) turned into null; types stay."""
+    names = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)
+             and (cols is None or f.name in cols)]
+    kept = {c: F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), F.col(c)) for c in names}
+    return df.withColumns(kept) if kept else df
+
+
 def days_between(start: Column, end: Column) -> Column:
     """Whole days from start to end, rounded down (half a day before is -1)."""
     micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))

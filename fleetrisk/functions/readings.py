@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fleetrisk.functions import fixed
-from fleetrisk.functions.numbers import ratio
+from fleetrisk.functions.numbers import finite, ratio
 
 _SMALL = 1e-5
 
@@ -24,7 +24,7 @@ def fuel_efficiency() -> Column:
 
 
 def battery_health() -> Column:
-    v = F.col("battery_voltage")
+    v = finite(F.col("battery_voltage"))
     return F.when(v > 12.4, "Good").when(v > 12.0, "Fair").otherwise("Poor")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetrisk.functions.numbers import numeric_columns
+from fleetrisk.functions import fixed
+from fleetrisk.functions.numbers import finite, finite_columns, numeric_columns
 from fleetrisk.operators.features import columns_with_nulls, fill_gaps, fill_median
 from fleetrisk.operators.quality import iqr_bounds, value_counts
 from fleetrisk.operators.ranks import exact_quantiles
@@ -15,7 +16,10 @@ __all__ = ["fill_mode", "fill_median", "fill_forward", "fill_gaps", "drop_duplic
            "parse_dates", "rejected_dates", "clean_readings"]
 
 
-def modes(df: DataFrame, cols: list[str]) -> dict[str, str]:
+ID_COLUMNS = ["event_id", "reading_id"]
+
+
+def modes(df:DataFrame, cols: list[str]) -> dict[str, str]:
     """{column: most frequent value}, the smallest one on ties; values are counted, never gathered."""
     if not cols:
         return {}
@@ -44,8 +48,8 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 
 def cap(c: str, bounds: tuple) -> Column:
-    """Clipped to the bounds; null stays null (greatest and least skip nulls)."""
-    x = F.col(c).cast("double")
+    """Clipped to the bounds; null, NaN and infinities give null (greatest and least skip nulls)."""
+    x = finite(F.col(c))
     return F.when(x.isNotNull(), F.greatest(F.least(x, F.lit(float(bounds[1]))), F.lit(float(bounds[0]))))
 
 
@@ -78,16 +82,22 @@ def clean_readings(df: DataFrame, categorical=(), numerical=(), dates=(), key: s
                    order: tuple = ("ts", "event_id"), layout: dict | None = None, **rank_args) -> DataFrame:
     """Fill nulls (mode, median, else forward), drop duplicates, cap outliers, parse dates.
 
-    Outlier bounds and medians come from the raw rows, in one set of passes; what is collected is
-    a few numbers per column. The rows themselves move at most twice: by vehicle (only if
+    NaN and infinities are nulls here. Keys, the order, ids and targets are never capped, and a column without an outlier
+    keeps its values and its type. Outlier bounds and medians come from the raw rows, in one set of passes; what is
+    collected is a few numbers per column. The rows themselves move at most twice: by vehicle (only if
     something is filled forward) and by content.
     """
-    numbers = numeric_columns(df)
-    quartiles = {c: q for c, q in exact_quantiles(df, numbers, [0.25, 0.5, 0.75], **rank_args).items() if q[0] is not None}
-    bounds = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (q1, _, q3) in quartiles.items()}
+    df = finite_columns(df)
+    numbers = numeric_columns(df, exclude=[key, *order, *ID_COLUMNS, "target", *fixed.TARGETS])
+    quartiles = {c: q for c, q in exact_quantiles(df, numbers, [0.0, 0.25, 0.5, 0.75, 1.0], **rank_args).items() if q[0] is not None}
+    bounds = {}
+    for c, (least, q1, _, q3, most) in quartiles.items():
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        if least < low or most > high:
+            bounds[c] = low, high
     holes = columns_with_nulls(df, df.columns)
     out = fill_mode(df, [c for c in holes if c in categorical])
-    out = out.select(*[F.coalesce(F.col(c).cast("double"), F.lit(quartiles[c][1])).alias(c)
+    out = out.select(*[F.coalesce(F.col(c).cast("double"), F.lit(quartiles[c][2])).alias(c)
                        if c in holes and c in numerical and c in quartiles else F.col(c) for c in out.columns])
     rest = [c for c in holes if c not in categorical and c not in numerical and c not in (key, *order)]
     out = fill_forward(out, rest, key=key, order=order, **(layout or {}))

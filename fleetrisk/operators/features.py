@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetrisk.functions import fixed, readings
-from fleetrisk.functions.numbers import count_if, numeric_columns, ratio
+from fleetrisk.functions.numbers import count_if, finite, finite_columns, numeric_columns, ratio
 from fleetrisk.operators.ranks import exact_quantiles
 from fleetrisk.operators.timeline import HOT_ROWS, Timeline, on_timeline
 
@@ -129,6 +129,7 @@ def full_recipe(df: DataFrame, cols: list[str], day: str = "date") -> Recipe:
 
 def feature_table(df: DataFrame, cols: list[str] | None = None, medians: bool = True, **layout) -> DataFrame:
     """All features, gaps filled per vehicle and, where a vehicle has no value at all, by the median."""
+    df = finite_columns(df)
     cols = cols or input_columns(df)
     recipe = full_recipe(df, cols)
 
@@ -172,6 +173,8 @@ def _vehicle_checks(df: DataFrame, cols: list[str], hot_rows: int, key: str = "v
     for c in fixed.CRITICAL_INPUTS:
         if c in df.columns:
             tests += [crowded(c, 5, MIN_ROWS), crowded(c, 2, 2), crowded(c, 3, 3)]
+    # Numeric columns without features of their own are filled too.
+    tests += [F.count(c) > 0 for c in numeric_columns(df, exclude=[*fixed.TARGETS, *_keys(df), *cols])]
     for needs, expr in [*readings.engineered().values(), *readings.interactions().values()]:
         if set(needs) <= set(df.columns):
             tests.append(F.count(expr) > 0)
@@ -185,17 +188,17 @@ def _vehicle_checks(df: DataFrame, cols: list[str], hot_rows: int, key: str = "v
 def columns_with_nulls(df: DataFrame, cols: list[str]) -> list[str]:
     if not cols:
         return []
-    row = df.agg(*[count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    row = finite_columns(df, cols).agg(*[count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
     return [c for c in cols if row[c]]
 
 
 def fill_median(df: DataFrame, cols: list[str], fit_rows: int | None = None) -> DataFrame:
-    """Nulls of each column replaced by its exact median; a column without values stays null."""
+    """Nulls, NaN and infinities of each column replaced by its exact median; a column without values stays as it is."""
     if not cols:
         return df
     args = {"fit_rows": fit_rows} if fit_rows else {}
     medians = {c: v[0] for c, v in exact_quantiles(df, cols, [0.5], **args).items() if v[0] is not None}
-    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) if c in medians else F.col(c)
+    return df.select(*[F.coalesce(finite(F.col(c)), F.lit(medians[c])).alias(c) if c in medians else F.col(c)
                        for c in df.columns])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetrisk.functions.numbers import count_if, finite, numeric_columns, ratio
+from fleetrisk.functions.numbers import count_if, finite, finite_columns, numeric_columns, ratio
 from fleetrisk.operators.ranks import exact_quantiles
 
 # Data frame type names and the Spark types that stand for them.
@@ -27,14 +27,16 @@ def _long(df: DataFrame, rows: list[tuple[Column, ...]], names: list[str]) -> Da
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """(column, null_count, null_pct) of the columns that have nulls; one pass."""
+    """(column, null_count, null_pct) of the columns that have nulls, NaN or infinities; one pass."""
+    df = finite_columns(df)
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *[count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     rows = [(F.lit(c), F.col(c), F.coalesce(ratio(100.0 * F.col(c), F.col("_n")), F.lit(0.0))) for c in df.columns]
     return _long(wide, rows, ["column", "null_count", "null_pct"]).where("null_count > 0")
 
 
 def null_totals(df: DataFrame) -> DataFrame:
-    """(total_missing, missing_percentage, columns_with_missing) over all cells."""
+    """(total_missing, missing_percentage, columns_with_missing) over all cells; NaN and infinities count as missing."""
+    df = finite_columns(df)
     wide = df.agg(F.count(F.lit(1)).alias("_n"), *[count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     total = reduce(add, [F.col(c) for c in df.columns])
     return wide.select(
@@ -120,7 +122,7 @@ def quality_rules(df: DataFrame, null_limit: float = 0.1, duplicate_limit: float
 
 
 def numeric_profile(df: DataFrame, cols: list[str] | None = None, **rank_args) -> DataFrame:
-    """Mean, deviation, range, quartiles and bias-corrected skew and excess kurtosis per column."""
+    """Mean, deviation, range, quartiles and bias-corrected skew and excess kurtosis per column; both are 0 for equal values."""
     cols = cols or numeric_columns(df)
     quartiles = exact_quantiles(df, cols, [0.25, 0.5, 0.75], **rank_args)
     aggs = []
@@ -132,8 +134,9 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, **rank_args) -
     rows = []
     for i, c in enumerate(cols):
         n = F.col(f"n{i}").cast("double")
-        skew = F.when(n > 2, F.col(f"g{i}") * F.sqrt(n * (n - 1)) / (n - 2))
-        kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col(f"k{i}") + 6))
+        skew = F.when(n > 2, F.coalesce(F.col(f"g{i}") * F.sqrt(n * (n - 1)) / (n - 2), F.lit(0.0)))
+        excess = (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col(f"k{i}") + 6)
+        kurt = F.when(n > 3, F.coalesce(excess, F.lit(0.0)))
         q = [F.lit(v).cast("double") for v in quartiles[c]]
         rows.append((F.lit(c), F.col(f"mean{i}"), F.col(f"std{i}"), F.col(f"min{i}"), *q, F.col(f"max{i}"), skew, kurt))
     return _long(df.agg(*aggs), rows, ["column", "mean", "std", "min", "p25", "p50", "p75", "max", "skew", "kurtosis"])

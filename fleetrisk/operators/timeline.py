@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetrisk.functions.numbers import finite_columns
 from fleetrisk.operators.ranges import cut_by_order
 
 HOT_ROWS = 5_000_000
@@ -156,8 +157,10 @@ def on_timeline(df: DataFrame, build: Callable[[Timeline], Timeline], key: str =
                 block_rows: int | None = None, any_hot: bool | None = None) -> DataFrame:
     """``build`` applied to the rows of every vehicle; hot vehicles take the block layout.
 
-    ``any_hot`` is given by callers that already know whether a vehicle exceeds ``hot_rows``.
+    NaN and infinities are nulls, for every operator and in the result. ``any_hot`` is given by callers that
+    already know whether a vehicle exceeds ``hot_rows``.
     """
+    df = finite_columns(df)
     hot_rows, block_rows = hot_rows or HOT_ROWS, block_rows or BLOCK_ROWS
     hot = [] if any_hot is False else _hot_keys(df, key, hot_rows)
     if not hot:

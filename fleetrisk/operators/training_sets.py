@@ -30,7 +30,8 @@ def select_features(df: DataFrame, target: str, drop=()) -> DataFrame:
 @dataclass(frozen=True)
 class Cut:
     """A point of the (ts, seq) order. The rows before it are a comparison of bare columns with
-    literals, so the filter reaches the scan and skips row groups."""
+    literals, so the filter reaches the scan and skips row groups. Rows without a time or a number come
+    before every cut; every row is either before a cut or not."""
 
     ts: str
     seq: str
@@ -42,8 +43,8 @@ class Cut:
         if self.micros is None:
             return F.lit(True)
         at = F.timestamp_micros(F.lit(self.micros)).cast(self.kind)
-        ts = F.col(self.ts)
-        return (ts < at) | ((ts == at) & (F.col(self.seq) < self.number))
+        ts, seq = F.col(self.ts), F.col(self.seq)
+        return ts.isNull() | seq.isNull() | (ts < at) | ((ts == at) & (seq < self.number))
 
 
 def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str = "event_id",
@@ -51,24 +52,30 @@ def cuts_at(df: DataFrame, ranks: list[int], rows: int, ts: str = "ts", seq: str
     """The cuts with exactly the given numbers of rows before them.
 
     Rank selection on the time column, then on the sequence number inside each found time: only
-    counts move, the rows are never sorted or shuffled.
+    counts move, the rows are never sorted or shuffled. Rows without a time or a number are counted first: a
+    cut among them moves behind them. Rows that share both stay together, behind a cut that falls among them.
     """
-    inside = sorted({r for r in ranks if r < rows})
     kind = dict(df.dtypes)[ts]
-    cuts = {r: Cut(ts, seq, kind) for r in ranks if r >= rows}
+    known = df.where(F.col(ts).isNotNull() & F.col(seq).isNotNull())
+    placed = known.count()
+    # The rank of each cut among the rows that have a place.
+    among = {r: max(0, r - (rows - placed)) for r in ranks}
+    inside = sorted({k for k in among.values() if k < placed})
+    cuts = {k: Cut(ts, seq, kind) for k in among.values() if k >= placed}
     if inside:
         micros = F.unix_micros(F.col(ts).cast("timestamp"))
-        at = values_at_ranks(df, micros, inside, fit_rows)
+        at = values_at_ranks(known, micros, inside, fit_rows)
         times = sorted({v for v, _ in at.values()})
         found = F.col(ts).isin(*[F.timestamp_micros(F.lit(t)).cast(kind) for t in times])
-        single = {r["m"]: (r["n"], r["first"]) for r in df.where(found).groupBy(micros.alias("m")).agg(
+        single = {r["m"]: (r["n"], r["first"]) for r in known.where(found).groupBy(micros.alias("m")).agg(
             F.count(F.lit(1)).alias("n"), F.min(seq).alias("first")).collect()}  # one row per cut
-        for r, (time, below) in at.items():
+        for k, (time, below) in at.items():
             n, number = single[time]
-            if n > 1 and r > below:
-                number = values_at_ranks(df.where(F.col(ts) == F.timestamp_micros(F.lit(time)).cast(kind)), F.col(seq), [r - below], fit_rows)[r - below][0]
-            cuts[r] = Cut(ts, seq, kind, time, number)
-    return [cuts[r] for r in ranks]
+            if n > 1 and k > below:
+                here = known.where(F.col(ts) == F.timestamp_micros(F.lit(time)).cast(kind))
+                number = values_at_ranks(here, F.col(seq), [k - below], fit_rows)[k - below][0]
+            cuts[k] = Cut(ts, seq, kind, time, number)
+    return [cuts[among[r]] for r in ranks]
 
 
 def ordered_split(df: DataFrame, test_share: float = 0.2, **args) -> tuple[DataFrame, DataFrame]:

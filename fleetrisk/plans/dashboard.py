@@ -131,15 +131,17 @@ def recommendations(df: DataFrame, first: int = 10, oldest: int = 5) -> DataFram
     per_vehicle = df.groupBy("vehicle_id").agg(
         F.min(F.when(F.col("engine_temperature") > 105, key)).alias("hot"),
         F.min(F.when(F.col("oil_pressure") < 30, key)).alias("low"),
-        (-F.max("total_distance")).cast("decimal(38,0)").alias("mileage"))
+        (-F.max("total_distance")).alias("mileage"))
+    far = dict(per_vehicle.dtypes)["mileage"]
     lists = [("hot", first, fixed.RECOMMEND_TEMPERATURE), ("low", first, fixed.RECOMMEND_OIL),
              ("mileage", oldest, fixed.RECOMMEND_MILEAGE)]
     names = ["issue", "severity", "recommendation", "estimated_cost", "estimated_downtime_hours"]
     cells = [F.when(F.col(c).isNotNull(), F.struct(
-        F.col(c).alias("key"), F.lit(size).alias("size"), *[F.lit(v).alias(n) for n, v in zip(names, texts)]))
+        F.when(F.lit(c != "mileage"), F.col("low" if c == "mileage" else c)).alias("key"),
+        F.when(F.lit(c == "mileage"), F.col("mileage")).cast(far).alias("far"), F.lit(size).alias("size"), *[F.lit(v).alias(n) for n, v in zip(names, texts)]))
         for c, size, texts in lists]
     rows = per_vehicle.select("vehicle_id", F.explode(F.array_compact(F.array(*cells))).alias("r")).select("vehicle_id", "r.*")
-    rank = F.row_number().over(Window.partitionBy("issue").orderBy("key", "vehicle_id"))
+    rank = F.row_number().over(Window.partitionBy("issue").orderBy("key", "far", "vehicle_id"))
     ranked = rows.withColumn("rank", rank).where(F.col("rank") <= max(first, oldest))
     return ranked.where(F.col("rank") <= F.col("size")).select("vehicle_id", *names)
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetrisk.functions.numbers import finite_columns
+
 MART_NAMES = ["predictions", "model_metrics", "business_metrics", "feature_importance",
               "time_series_predictions", "fleet_summary"]
 
@@ -26,14 +28,14 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | str | N
     """CSV with a header or JSON by extension; give a schema, or the file is read twice to infer one.
 
     A JSON file that is one array cannot be split among tasks. Give ``multi_line=False`` for one
-    object per line, the form to use for large data.
+    object per line, the form to use for large data. NaN and infinities are read as null.
     """
     kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "csv":
-        return reader.option("header", True).option("inferSchema", schema is None).csv(path)
+        return finite_columns(reader.option("header", True).option("inferSchema", schema is None).csv(path))
     if kind == "json":
-        return reader.option("multiLine", multi_line).json(path)
+        return finite_columns(reader.option("multiLine", multi_line).json(path))
     raise ValueError("Unsupported file format. Use CSV or JSON.")
 
 

@@ -9,20 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetrisk.functions import fixed
-from fleetrisk.functions.numbers import count_if
+from fleetrisk.functions.numbers import count_if, finite_columns
 from fleetrisk.operators.scoring import advise, scoring_features
 
 LATENESS = "1 hour"
 
 
 def read_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
-    """New parquet files of a folder as a stream."""
+    """New parquet files of a folder as a stream; NaN and infinities are read as null."""
     reader = spark.readStream.schema(schema)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    return finite_columns(reader.parquet(folder))
 
 
 def with_event_time(df: DataFrame, lateness: str = LATENESS) -> DataFrame:
