@@ -196,7 +196,7 @@ _MONEY_NAMES = ["total_cost_with_pm", "total_cost_without_pm", "cost_savings", "
 
 
 @query("business_mart", f"""
-SELECT title AS business_metric, value, {first_word("name", fixed.BUSINESS_UNITS, "count")} AS unit,
+SELECT title AS business_metric, value, cast(NULL AS varchar) AS value_text, {first_word("name", fixed.BUSINESS_UNITS, "count")} AS unit,
   {first_word("name", fixed.BUSINESS_CATEGORIES, "Other")} AS category, date '{RUN_DATE}' AS update_date
 FROM ({" UNION ALL ".join(f"SELECT '{m}' AS name, '{m.replace('_', ' ').title()}' AS title, cast({m} AS double) AS value FROM money" for m in _MONEY_NAMES)}) AS l""",
        "value", MATRIX)
@@ -241,7 +241,7 @@ def all_marts(spark, sf):
 @query("mart_set", """
 SELECT 'predictions' AS mart, count(*) AS n, 17 AS n_columns FROM telemetry
 UNION ALL SELECT 'model_metrics', 13, 4
-UNION ALL SELECT 'business_metrics', 9, 5
+UNION ALL SELECT 'business_metrics', 9, 6
 UNION ALL SELECT 'feature_importance', 10, 4
 UNION ALL SELECT 'time_series_predictions', count(DISTINCT date), 8 FROM telemetry
 UNION ALL SELECT 'fleet_summary', count(DISTINCT vehicle_id), 10 FROM telemetry""", "", TELEMETRY)

@@ -102,13 +102,15 @@ def pr_auc(spark, sf):
     return ev.ranking_metrics(views.predictions(spark, sf)).select("pr_auc")
 
 
-@query("roc_curve", "SELECT threshold, cum_neg / all_neg AS fpr, cum_pos / all_pos AS tpr FROM points", "threshold fpr tpr", POINTS)
+@query("roc_curve", """SELECT threshold, cum_neg / all_neg AS fpr, cum_pos / all_pos AS tpr FROM points
+UNION ALL SELECT NULL, 0 / max(all_neg), 0 / max(all_pos) FROM points HAVING count(*) > 0""", "threshold fpr tpr", POINTS)
 def roc_curve(spark, sf):
     return ev.roc_curve(views.predictions(spark, sf))
 
 
 @query("pr_curve", """SELECT threshold, cum_pos / (cum_pos + cum_neg) AS "precision", cum_pos / all_pos AS recall,
-  all_pos / (all_pos + all_neg) AS no_skill FROM points""", 'threshold "precision" recall no_skill', POINTS)
+  all_pos / (all_pos + all_neg) AS no_skill FROM points
+UNION ALL SELECT NULL, 1e0, 0 / max(all_pos), max(all_pos) / max(all_pos + all_neg) FROM points HAVING count(*) > 0""", 'threshold "precision" recall no_skill', POINTS)
 def pr_curve(spark, sf):
     return ev.pr_curve(views.predictions(spark, sf))
 

@@ -82,7 +82,7 @@ SELECT "check", status, value, avg(CASE WHEN status = 'passed' THEN 1e0 ELSE 0e0
   UNION ALL SELECT 'data_type_rpm', 'failed', 1e0) AS c""", "value quality_score", TELEMETRY)
 def quality_rules(spark, sf):
     t = views.telemetry(spark, sf).select("distance_km", *[c for c in _RULE_COLUMNS if c != "distance_km"])
-    return dq.quality_rules(t, null_limit=0.01, expected_types={"rpm": "int64", "vehicle_id": "object"})
+    return dq.quality_rules(t, null_limit=0.01, expected_types={"rpm": "int64", "vehicle_id": "object"}, outlier_columns=5)
 
 
 def _profile(c):

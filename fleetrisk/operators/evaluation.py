@@ -48,19 +48,38 @@ def _curve(df: DataFrame, label: str, probability: str, one_task_rows: int):
 
 
 def roc_curve(df, label="label", probability="probability", one_task_rows=ONE_TASK_ROWS) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score; rates are null when a class is absent."""
+    """(threshold, fpr, tpr) per distinct score, and the starting point (null, 0, 0), where nothing is flagged.
+
+    Rates are null when a class is absent; no scores give no rows.
+    """
     points, total = _curve(df, label, probability, one_task_rows)
-    return points.select("threshold", _share(F.col("cum_neg"), total["neg"]).alias("fpr"),
-                         _share(F.col("cum_pos"), total["pos"]).alias("tpr"))
+    curve = points.select("threshold", _share(F.col("cum_neg"), total["neg"]).alias("fpr"),
+                          _share(F.col("cum_pos"), total["pos"]).alias("tpr"))
+    return _with_start(curve, total, fpr=_share(F.lit(0), total["neg"]), tpr=_share(F.lit(0), total["pos"]))
 
 
 def pr_curve(df, label="label", probability="probability", one_task_rows=ONE_TASK_ROWS) -> DataFrame:
-    """(threshold, precision, recall, no_skill) per distinct score; no_skill is the share of positives."""
+    """(threshold, precision, recall, no_skill) per distinct score, and the starting point of precision 1 and recall 0.
+
+    no_skill is the share of positives. The starting point has no threshold; no scores give no rows.
+    """
     points, total = _curve(df, label, probability, one_task_rows)
     n = (total["pos"] or 0) + (total["neg"] or 0)
-    return points.select(
+    no_skill = _share(F.lit(total["pos"] or 0), n)
+    curve = points.select(
         "threshold", ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
-        _share(F.col("cum_pos"), total["pos"]).alias("recall"), _share(F.lit(total["pos"] or 0), n).alias("no_skill"))
+        _share(F.col("cum_pos"), total["pos"]).alias("recall"), no_skill.alias("no_skill"))
+    return _with_start(curve, total, precision=F.lit(1.0), recall=_share(F.lit(0), total["pos"]), no_skill=no_skill)
+
+
+def _with_start(curve: DataFrame, total: dict, **start: Column) -> DataFrame:
+    """The curve and the point above its highest score, if it has any."""
+    if total["pos"] is None:
+        return curve
+    kind = curve.schema["threshold"].dataType
+    point = curve.sparkSession.range(1).select(
+        F.lit(None).cast(kind).alias("threshold"), *[c.alias(n) for n, c in start.items()])
+    return curve.unionByName(point)
 
 
 def ranking_metrics(df, label="label", probability="probability", one_task_rows=ONE_TASK_ROWS) -> DataFrame:

@@ -153,11 +153,13 @@ def search(df: DataFrame, grids: dict[str, list[dict]], features: list[str], lab
     for k, (past, coming) in enumerate(expanding_folds(df, folds, **(order or {}))):
         past = _weighted(past, features, label, share, balanced).persist()
         coming = model_input(coming, features, label).persist()
+        held = [past, coming]
         try:
             if min(past.select(label).distinct().count(), coming.select(label).distinct().count()) < 2:
                 continue
             prepared = Pipeline(stages=stages(features)).fit(past)
             ready = prepared.transform(past).select("features", label, "_weight").persist()
+            held.append(ready)
 
             def fit(job: tuple) -> tuple[str, dict, int, float]:
                 family, point = job
@@ -166,10 +168,9 @@ def search(df: DataFrame, grids: dict[str, list[dict]], features: list[str], lab
 
             with ThreadPoolExecutor(parallelism) as pool:
                 scores += list(pool.map(fit, points))
-            ready.unpersist()
         finally:
-            past.unpersist()
-            coming.unpersist()
+            for part in held:
+                part.unpersist()
     if not scores:
         raise ValueError("no fold holds both classes")
 

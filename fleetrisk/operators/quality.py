@@ -88,10 +88,11 @@ def iqr_outliers(df: DataFrame, cols: list[str] | None = None, bounds: dict | No
 
 def quality_rules(df: DataFrame, null_limit: float = 0.1, duplicate_limit: float = 0.05,
                   outlier_limit: float = 0.01, expected_types: dict[str, str] | None = None,
-                  outlier_columns: int = 5, **rank_args) -> DataFrame:
+                  outlier_columns: int | None = None, **rank_args) -> DataFrame:
     """(check, status, value, quality_score): each rule's outcome and the share of passed ones.
 
-    A column without many outliers adds no row, so it neither helps nor hurts the score.
+    A column without many outliers adds no row, so it neither helps nor hurts the score. Outliers are looked for in
+    every numeric column, or in the first ``outlier_columns`` of them.
     """
     numbers = numeric_columns(df)[:outlier_columns]
     bounds = iqr_bounds(df, numbers, **rank_args)

@@ -19,7 +19,10 @@ from fleetrisk.operators.ranges import cut_by_order
 
 HOT_ROWS = 5_000_000
 BLOCK_ROWS = 1_000_000
-MAX_HOT_KEYS = 100_000
+#: Tables of at most this many cells (keys, or blocks by columns) are broadcast; larger ones are joined by shuffles.
+BROADCAST_CELLS = 1_000_000
+#: Hot keys up to this number are looked up from the driver, more from a table.
+LISTED_KEYS = 100_000
 _LAYOUT = ["_block", "_pos", "_halo"]
 
 
@@ -147,7 +150,7 @@ class Timeline:
         source = self.df.where(~F.col("_halo"))
         table = source.groupBy(*self.groups).agg(*[e.alias(n) for n, e in ends.items()]).select(
             F.col(self.key).alias("_k"), F.col("_block").alias("_kb"), *[over(n, w).alias(n) for n in ends])
-        if self.blocks <= 2 * MAX_HOT_KEYS:
+        if self.blocks * (len(ends) + 2) <= BROADCAST_CELLS:
             table = F.broadcast(table)
         return df.join(table, F.col(self.key).eqNullSafe(F.col("_k")) & (F.col("_block") == F.col("_kb")), "left").drop("_k", "_kb")
 
@@ -162,46 +165,49 @@ def on_timeline(df: DataFrame, build: Callable[[Timeline], Timeline], key: str =
     """
     df = finite_columns(df)
     hot_rows, block_rows = hot_rows or HOT_ROWS, block_rows or BLOCK_ROWS
-    hot = [] if any_hot is False else _hot_keys(df, key, hot_rows)
-    if not hot:
+    names, keys, rows = (None, 0, 0) if any_hot is False else _hot_keys(df, key, hot_rows)
+    if not keys:
         return build(Timeline(df, key, order)).rows()
-    # At most MAX_HOT_KEYS rows, see _hot_keys.
-    names = df.sparkSession.createDataFrame(
-        [(r[key],) for r in hot], schema=df.select(F.col(key).alias("_hot")).schema)
     same = F.col(key).eqNullSafe(F.col("_hot"))
-    cold = df.join(F.broadcast(names), same, "left_anti")
-    warm = df.join(F.broadcast(names), same, "left_semi")
-    cut = _blocks(warm, key, order, sum(r["count"] for r in hot), len(hot), block_rows)
+    cold = df.join(names, same, "left_anti")
+    warm = df.join(names, same, "left_semi")
+    cut = _blocks(warm, key, order, rows, keys, block_rows)
     return build(Timeline(cold, key, order)).rows().unionByName(build(cut).rows())
 
 
-def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> list:
-    """Keys above hot_rows rows with their counts; the limit grows until at most MAX_HOT_KEYS remain."""
-    counts = df.groupBy(key).count()
-    while True:
-        hot = counts.where(F.col("count") > hot_rows).limit(MAX_HOT_KEYS + 1).collect()
-        if len(hot) <= MAX_HOT_KEYS:
-            return hot
-        hot_rows *= 4
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> tuple[DataFrame, int, int]:
+    """(table of the keys above hot_rows rows as ``_hot``, their number, their rows together).
+
+    Few keys become a broadcast list. More stay a table, and adaptive execution splits the hot side of its joins.
+    """
+    hot = df.groupBy(F.col(key).alias("_hot")).count().where(F.col("count") > hot_rows)
+    names = hot.select("_hot")
+    listed = hot.limit(LISTED_KEYS + 1).collect()
+    if len(listed) > LISTED_KEYS:
+        return names, *hot.agg(F.count(F.lit(1)), F.sum("count")).first()
+    names = df.sparkSession.createDataFrame([(r["_hot"],) for r in listed], schema=names.schema)
+    return F.broadcast(names), len(listed), sum(r["count"] for r in listed)
 
 
 def _blocks(df: DataFrame, key: str, order: tuple, rows: int, keys: int, block_rows: int) -> Timeline:
-    block_rows = max(block_rows, rows // MAX_HOT_KEYS)
     placed = cut_by_order(df, [F.col(c) for c in (key, *order)], -(-rows // block_rows))
     # One row per (vehicle, piece): at most pieces + vehicles of them.
     starts = placed.groupBy(F.col(key).alias("_k"), F.col("_piece").alias("_p")).agg(
         F.min("_slot").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("_k").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select("_k", "_p", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_skip"))
+    blocks = -(-rows // block_rows) + keys
+    if blocks * len(starts.columns) <= BROADCAST_CELLS:
+        starts = F.broadcast(starts)
     pos = F.col("_slot") - F.col("_first") + F.col("_skip")
     out = (
-        placed.join(F.broadcast(starts), F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")))
+        placed.join(starts, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_piece") == F.col("_p")))
         .withColumn("_pos", pos)
         .withColumn("_block", F.floor(F.col("_pos") / block_rows).cast("bigint"))
         .withColumn("_halo", F.lit(False))
         .select(*df.columns, *_LAYOUT)
     )
-    return Timeline(out, key, order, blocks=-(-rows // block_rows) + keys, block_rows=block_rows)
+    return Timeline(out, key, order, blocks=blocks, block_rows=block_rows)
 
 
 def _assign(df: DataFrame, columns: dict[str, Column], drop: list[str] = ()) -> DataFrame:

@@ -12,6 +12,9 @@ from fleetrisk.functions import fixed
 from fleetrisk.functions.numbers import finite, numeric_columns
 from fleetrisk.operators.ranks import FIT_ROWS, values_at_ranks
 
+#: A label with more values than this is taken for a wrong column.
+MAX_CLASSES = 100
+
 NOT_FEATURES = ["event_id", "reading_id", "ts", "timestamp", "date", "vehicle_id", "fault_date", "fault_ts",
                 "next_fault_ts", "days_to_fault", "target", *fixed.TARGETS]
 
@@ -105,13 +108,21 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight", classes: int = 1) -> DataFrame:
-    """df with the balanced weight of its class, as a literal expression (one entry per class)."""
-    found = class_weights(df.where(F.col(label).isNotNull()), label).collect()
+    """df with the balanced weight of its class, as a literal expression (one entry per class).
+
+    A label of more than MAX_CLASSES values is an error, found before more than those reach the driver.
+    """
+    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    found = counts.limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} values")
     if len(found) < classes:
         raise ValueError(f"training needs rows of {classes} classes")
+    total = sum(r["n"] for r in found)
     out = F.lit(None).cast("double")
     for r in found:
-        out = F.when(F.col(label) == F.lit(r["label"]), F.lit(float(r["weight"]))).otherwise(out)
+        weight = total / (len(found) * r["n"])
+        out = F.when(F.col(label) == F.lit(r["label"]), F.lit(weight)).otherwise(out)
     return df.withColumn(weight, out)
 
 

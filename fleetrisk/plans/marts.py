@@ -31,16 +31,18 @@ def predictions_mart(df: DataFrame, run_date: str, extra: int = 10) -> DataFrame
 
 
 def to_metrics(row: DataFrame) -> DataFrame:
-    """A one-row table as (metric_name, metric_value, is_number): a column becomes a row.
+    """A one-row table as (metric_name, metric_value, metric_text): a column becomes a row.
 
-    Struct columns give ``<column>_<field>``; what is not a number has the value 0.
+    Struct columns give ``<column>_<field>``; what is not a number has the value 0 and keeps its text, which is
+    null for numbers.
     """
     cells = []
 
     def add(name: str, c: Column, t: T.DataType):
         number = isinstance(t, T.NumericType)
         cells.append(F.struct(F.lit(name).alias("metric_name"),
-                              (c.cast("double") if number else F.lit(0.0)).alias("metric_value")))
+                              (c.cast("double") if number else F.lit(0.0)).alias("metric_value"),
+                              F.lit(None if number else c.cast("string")).cast("string").alias("metric_text")))
 
     for f in row.schema.fields:
         if isinstance(f.dataType, T.StructType):
@@ -71,6 +73,7 @@ def business_mart(business: DataFrame, run_date: str) -> DataFrame:
     name = F.col("metric_name")
     return to_metrics(business).select(
         F.initcap(F.replace(name, F.lit("_"), F.lit(" "))).alias("business_metric"), F.col("metric_value").alias("value"),
+        F.col("metric_text").alias("value_text"),
         first_match(name, fixed.BUSINESS_UNITS, "count").alias("unit"),
         first_match(name, fixed.BUSINESS_CATEGORIES, "Other").alias("category"),
         _run_date(run_date).alias("update_date"))

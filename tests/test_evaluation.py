@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fleetrisk.functions import readings, risk
 from fleetrisk.operators import evaluation as ev
 from fleetrisk.operators import models as ml
-from fleetrisk.operators import scoring
+from fleetrisk.operators import quality, scoring, training_sets
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.plans import dashboard, marts
 from fleetrisk.sources import files, views
@@ -121,9 +121,36 @@ def test_weeks(spark):
 
 def test_units_follow_branch_order(spark):
     df = spark.createDataFrame([(1.0, 2, "x")], "savings_percentage double, cost_per_vehicle int, failure_note string")
-    got = {r["business_metric"]: tuple(r)[1:4] for r in marts.business_mart(df, "2024-01-01").collect()}
-    assert got == {"Savings Percentage": (1.0, "USD", "Savings"), "Cost Per Vehicle": (2.0, "USD", "Cost Analysis"),
-                   "Failure Note": (0.0, "count", "Risk Analysis")}
+    got = {r["business_metric"]: tuple(r)[1:5] for r in marts.business_mart(df, "2024-01-01").collect()}
+    assert got == {"Savings Percentage": (1.0, None, "USD", "Savings"), "Cost Per Vehicle": (2.0, None, "USD", "Cost Analysis"),
+                   "Failure Note": (0.0, "x", "count", "Risk Analysis")}
+
+
+def test_curves_start_where_nothing_is_flagged(spark):
+    df = frame(spark, [1, 0, 1, 0], [1, 1, 1, 1], [0.9, 0.6, 0.6, 0.1])
+    assert {tuple(r) for r in ev.roc_curve(df).collect()} == {
+        (None, 0.0, 0.0), (0.9, 0.0, 0.5), (0.6, 0.5, 1.0), (0.1, 1.0, 1.0)}
+    assert {tuple(r) for r in ev.pr_curve(df).collect()} == {
+        (None, 1.0, 0.0, 0.5), (0.9, 1.0, 0.5, 0.5), (0.6, 2 / 3, 1.0, 0.5), (0.1, 0.5, 1.0, 0.5)}
+    one_class = frame(spark, [0, 0], [0, 1], [0.2, 0.9])
+    assert {tuple(r) for r in ev.roc_curve(one_class).collect()} == {(None, 0.0, None), (0.9, 0.5, None), (0.2, 1.0, None)}
+    assert ev.pr_curve(frame(spark, [], [])).count() == 0
+
+
+def test_labels_with_too_many_values_are_refused(spark):
+    df = spark.range(500).withColumn("x", F.rand(1))
+    with pytest.raises(ValueError, match="more than 100"):
+        training_sets.with_class_weights(df, "id")
+    with pytest.raises(ValueError, match="two classes"):
+        oversample(df, "id", ["x"], seq="id")
+
+
+def test_outliers_are_sought_in_every_column_unless_told(spark):
+    df = spark.range(200).select(*[F.lit(1.0 * i).alias(f"c{i}") for i in range(6)],
+                                 F.when(F.col("id") < 5, 1e6).otherwise(F.col("id").cast("double")).alias("late"))
+    found = {r["check"] for r in quality.quality_rules(df).collect()}
+    assert "outliers_late" in found
+    assert "outliers_late" not in {r["check"] for r in quality.quality_rules(df, outlier_columns=5).collect()}
 
 
 def test_dashboard_and_marts_are_complete(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetrisk.checks.registry import tidy
 from fleetrisk.functions import fixed
-from fleetrisk.operators import cleaning, features, labels
+from fleetrisk.operators import cleaning, features, labels, timeline
 from fleetrisk.operators.oversampling import nearest, oversample
 from fleetrisk.operators.ranks import exact_quantiles, values_at_ranks
 from fleetrisk.operators.running import running_totals
@@ -59,6 +59,21 @@ def test_fills_and_next_fault_in_blocks(hot):
     same(labels.next_fault(hot, **LAYOUT), labels.next_fault(hot))
 
 
+@pytest.mark.parametrize("limits", [{"LISTED_KEYS": 3}, {"BROADCAST_CELLS": 10}, {"LISTED_KEYS": 3, "BROADCAST_CELLS": 10}])
+def test_any_number_of_hot_vehicles_is_cut(hot, monkeypatch, limits):
+    """Beyond the sizes that fit a list or a broadcast, hot vehicles and blocks are looked up by joins."""
+    for name, value in limits.items():
+        monkeypatch.setattr(timeline, name, value)
+    few = {"hot_rows": 5, "block_rows": 10}
+    cols = ["engine_temperature", "oil_pressure"]
+    names, keys, rows = timeline._hot_keys(hot, "vehicle_id", 5)
+    want = [r["count"] for r in hot.groupBy("vehicle_id").count().collect() if r["count"] > 5]
+    assert (keys, rows) == (len(want), sum(want)) and names.count() == keys > 3
+    same(features.with_features(hot, features.rolling_mean(cols), **few), features.with_features(hot, features.rolling_mean(cols)))
+    same(features.fill_gaps(hot, cols, **few), features.fill_gaps(hot, cols))
+    same(labels.next_fault(hot, **few), labels.next_fault(hot))
+
+
 def test_null_vehicle_can_be_hot(hot):
     lost = hot.withColumn("vehicle_id", F.nullif("vehicle_id", F.lit("V000000000")))
     same(features.fill_gaps(lost, ["engine_temperature"], **LAYOUT), features.fill_gaps(lost, ["engine_temperature"]))
