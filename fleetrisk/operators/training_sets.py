@@ -121,8 +121,7 @@ def with_class_weights(df: DataFrame, label: str, weight: str = "weight", classe
     total = sum(r["n"] for r in found)
     out = F.lit(None).cast("double")
     for r in found:
-        weight = total / (len(found) * r["n"])
-        out = F.when(F.col(label) == F.lit(r["label"]), F.lit(weight)).otherwise(out)
+        out = F.when(F.col(label) == F.lit(r["label"]), F.lit(total / (len(found) * r["n"]))).otherwise(out)
     return df.withColumn(weight, out)
 
 
