@@ -55,12 +55,13 @@ def text_counts(text: Column) -> dict[str, Column]:
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
                   max_docs: int = 10, min_left: float = 0.3, min_words: int = 50) -> DataFrame:
-    """One row for each of docs: id_col, the base counts, n_lost_words, base_failed, depleted, kept.
+    """One row for each of docs: id_col, the base counts, n_lost_words, base_failed, depleted, kept, clean_text.
 
     A line is boilerplate where more than max_docs documents of its host have it; lines are compared without white
     space at the ends and with A-Z lower-cased, and lines without a word are none. A document is depleted if
     boilerplate lines hold more than 1 - min_left of its words. It fails the base rules with fewer than min_words words,
-    or if more than half of them lie in repeated windows. It is kept if neither holds.
+    or if more than half of them lie in repeated windows. It is kept if neither holds. clean_text is the text without
+    its boilerplate lines, and as it is, null too, where it has none; n_lost_words are the words that it lacks.
 
     Every row is a document, repeated rows too. A null text is an empty one, which fails; a null host is a host of
     its own. Other columns are not looked at. Hosts and lines may be as frequent as they like: the counts are combined
@@ -68,13 +69,12 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     id_, text, host = F.col(id_col), F.col(text_col), F.col(host_col)
 
-    def entry(line: Column) -> Column:
-        key = lower_ascii(stripped(line))
-        one, two = digest(host, key)
-        return F.struct(one.alias("_h1"), two.alias("_h2"), F.size(words(line)).alias("words"))
+    def key(host: Column, line: Column) -> Column:
+        one, two = digest(host, lower_ascii(stripped(line)))
+        return F.struct(one.alias("_h1"), two.alias("_h2"))
 
-    entries = F.filter(F.transform(text_lines(text), entry), lambda e: e["words"] > 0)
-    keys = F.array_distinct(F.transform(entries, lambda e: F.struct(e["_h1"].alias("_h1"), e["_h2"].alias("_h2"))))
+    worded = F.filter(text_lines(text), lambda line: stripped(line) != "")
+    keys = F.array_distinct(F.transform(worded, lambda line: key(host, line)))
     found = docs.select(*row_key(id_, host, text), F.explode(keys).alias("_key"))
     found = staged(found.select("_k1", "_k2", "_key.*"), "host_lines")
     frequent = found.groupBy("_h1", "_h2").agg(F.count("*").alias("_docs")).filter(F.col("_docs") > max_docs)
@@ -83,11 +83,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.collect_set(F.struct("_h1", "_h2")).alias("_lost"))
 
     rows = docs.select(id_, *row_key(id_, host, text), *[c.alias(n) for n, c in text_counts(text).items()],
-                       entries.alias("_entries"))
-    is_lost = lambda e: F.array_contains("_lost", F.struct(e["_h1"].alias("_h1"), e["_h2"].alias("_h2")))
-    gone = F.aggregate(F.filter("_entries", is_lost), F.lit(0).cast("long"), lambda a, e: a + e["words"])
+                       host.alias("_host"), text.alias("_text"))
+    left = F.filter(text_lines(F.col("_text")), lambda line: ~F.array_contains("_lost", key(F.col("_host"), line)))
+    clean = F.when(F.col("_lost").isNull(), F.col("_text")).otherwise(F.array_join(left, "\n"))
+    gone = F.when(F.col("_lost").isNotNull(), F.col("n_words") - F.size(words(F.col("clean_text")))).otherwise(0).cast("long")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    out = rows.join(lost, ["_k1", "_k2"], "left").select(
-        id_, *text_counts(text), F.coalesce(gone, F.lit(0).cast("long")).alias("n_lost_words"), failed.alias("base_failed"))
+    out = rows.join(lost, ["_k1", "_k2"], "left").select(id_, *text_counts(text), "_lost", clean.alias("clean_text"))
+    out = out.select(id_, *text_counts(text), gone.alias("n_lost_words"), failed.alias("base_failed"), "clean_text")
     depleted = F.col("n_lost_words") > (1 - min_left) * F.col("n_words")
-    return out.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
+    out = out.withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
+    return out.select(*[c for c in out.columns if c != "clean_text"], "clean_text")

@@ -81,7 +81,7 @@ SELECT *, base_failed = false AND n_lost_words <= (1 - 0.3e0) * n_words AS kept
 FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)""")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts of every text, and documents that fail them or lose their words to boilerplate of their source."""
-    return quality_rules(table(spark, sf_dir, "documents")).drop("depleted")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("depleted", "clean_text")
 
 
 @query("op7_secret_scan")
