@@ -84,7 +84,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     do; a document without id does not). A null or empty text has one empty line; a text of which every line
     goes becomes empty. Columns named n_lines or n_dropped are replaced.
 
-    The batches, dealt by a hash of the row, are added to the runs one by one. Then all are anti-joined with the runs;
+    The batches, dealt by a hash of the row, are added to the runs one by one. Then all lines are looked up in the frequent
+    keys of the merged runs, as no batch alone tells which those are, by a shuffle join;
     keys that hold more than a thousandth of all lines are found by a broadcast table instead, see lookup().
     """
     spark = docs.sparkSession
