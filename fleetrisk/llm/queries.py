@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import table
 from fleetrisk.llm.decontaminate import find_contamination
+from fleetrisk.llm.hard_negatives import hard_negatives
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.packing import pack
 from fleetrisk.llm.quality import quality_rules
@@ -158,3 +159,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, in words, packed into sequences of 512 to 4096."""
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op13_hard_negatives", """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256e0 * cast(x AS double))) AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+s AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, cast(list_inner_product(a.x, b.x) AS bigint) AS score
+  FROM v AS a JOIN v AS b ON a.id <> b.id WHERE a.id % 100 = 0),
+pos AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT pos.anchor_id, positive_id,
+  cast(row_number() OVER (PARTITION BY pos.anchor_id, positive_id ORDER BY score DESC, other) AS integer) AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s ON s.anchor_id = pos.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector its nearest rows of the same label and, below each of them, those of other labels."""
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
