@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import table
 from fleetrisk.llm.decontaminate import find_contamination
+from fleetrisk.llm.divergence import divergence
 from fleetrisk.llm.hard_negatives import hard_negatives
 from fleetrisk.llm.lines import dedup_lines
 from fleetrisk.llm.packing import pack
 from fleetrisk.llm.quality import quality_rules
+from fleetrisk.llm.quality_model import quality
+from fleetrisk.llm.quality_model import train as train_quality
 from fleetrisk.llm.secrets import KINDS, find_secrets, listed
 from fleetrisk.llm.sharding import shard
 from fleetrisk.llm.simhash import near_duplicates
@@ -182,3 +185,48 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op11_source_divergence", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+o AS (
+  SELECT doc, lang, source, """ + LOWER.format("term") + r""" AS term FROM (SELECT doc, lang, source, unnest(terms) AS term FROM d)),
+kept AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+c AS (SELECT lang, source, term, count(*) AS c FROM o JOIN kept USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (
+  SELECT lang, source, cast(coalesce(sum(c), 0) AS hugeint) AS n, cast(coalesce(any_value(v), 0) AS hugeint) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY lang, source),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c, 0) AS c, 1 + (cast(1000000000 AS hugeint) * (coalesce(c, 0) + 2)) // (n + 2 * v) AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+l AS (SELECT lang, sum(n) AS n, any_value(v) AS v FROM g GROUP BY lang),
+q AS (
+  SELECT lang, term, any_value(1 + (cast(1000000000 AS hugeint) * (total + 2)) // (n + 2 * v)) AS q
+  FROM (SELECT lang, term, sum(c) AS total FROM p GROUP BY lang, term) JOIN l USING (lang) GROUP BY lang, term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+  FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN p AS x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN p AS y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY a.lang, a.source, b.source),
+telling AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, cast(value AS bigint) AS value,
+  cast(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS integer) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM telling) QUALIFY part = 'pair' OR rank <= 10""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the terms of each source are from those of the others and of its language."""
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op12_quality_model")
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text by a model of the labels of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents")
+    model = train_quality(docs, table(spark, sf_dir, "labels").filter(~held_out("doc_id")))
+    out = docs.select("doc_id", held_out("doc_id").alias("held_out"), quality(F.col("text"), model).alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
