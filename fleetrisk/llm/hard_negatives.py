@@ -21,7 +21,7 @@ BLOCK_ROWS, BLOCK_QUERIES, TURN = 1024, 256, 16
 #: Rows that a query's first cells hold; a query that has no threshold by then goes on with GROWTH times as many.
 FIRST_ROWS, GROWTH = 2_000, 16
 
-_PLAN = "_h1 long, _h2 long, label int, x array<long>, limits array<long>, cells array<int>, seen int, done boolean"
+_PLAN = "_h1 long, _h2 long, label int, x array<long>, limits array<long>, tau long, cells array<int>, seen int, done boolean"
 
 
 def codebook(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
@@ -175,7 +175,7 @@ def _planned(queries: DataFrame, index: MultiIndex, rows: int, first: bool) -> D
                 cells.append(mine)
                 seen.append(before + len(mine))
                 done.append(over)
-            yield batch.drop(columns=["tau", "seen"]).assign(cells=cells, seen=np.array(seen, np.int32), done=np.array(done, bool))
+            yield batch.drop(columns=["seen"]).assign(tau=batch["tau"].astype("Int64"), cells=cells, seen=np.array(seen, np.int32), done=np.array(done, bool))
 
     return queries.select("_h1", "_h2", "label", "x", "limits", "tau", "seen").mapInPandas(plan, _PLAN)
 
@@ -183,10 +183,12 @@ def _planned(queries: DataFrame, index: MultiIndex, rows: int, first: bool) -> D
 def _compared(plan: DataFrame, blocks: DataFrame, score) -> DataFrame:
     """score(query block, row block) for all cells that the queries visit, as rows (_h1, _h2, limit, score, id).
 
+    Rows below a query's threshold can't be in its result and are not passed on.
+
     Queries of a cell are blocked, the rows' blocks are copied for each TURN of them, and both meet by cell, part and
     turn: a cell that all queries visit, or one that holds a third of the rows, is many keys.
     """
-    visits = plan.select("_h1", "_h2", "label", "x", "limits", F.explode("cells").alias("cell"))
+    visits = plan.select("_h1", "_h2", "label", "x", "limits", "tau", F.explode("cells").alias("cell"))
     # At most one row for each cell.
     asked = visits.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
     asked = asked.withColumn("turns", F.ceil(F.col("blocks") / TURN).cast("int"))
@@ -194,7 +196,7 @@ def _compared(plan: DataFrame, blocks: DataFrame, score) -> DataFrame:
     spread = staged(asked.join(parts, "cell"), "spread")
     visits = visits.join(F.broadcast(spread), "cell").withColumn("block", F.pmod("_h1", "blocks").cast("int"))
     grouped = visits.groupBy("cell", "block").agg(F.max("turns").alias("turns"), F.max("parts").alias("parts"), F.collect_list(
-        F.struct("_h1", "_h2", "label", "x", "limits")).alias("queries"))
+        F.struct("_h1", "_h2", "label", "x", "limits", F.coalesce("tau", F.lit(-2**63)).alias("tau"))).alias("queries"))
     grouped = grouped.withColumn("turn", F.pmod("block", "turns")).select(
         "cell", "turn", "queries", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     rows = blocks.join(F.broadcast(spread), "cell").select(
@@ -285,7 +287,7 @@ def hard_negatives(rows: DataFrame, anchors: Column, id_col: str = "vec_id", vec
 
     def same(queries, scores, labels, ids):
         for q, s in zip(queries, scores):
-            for value, i in _first(s, np.flatnonzero(labels == q["label"]), ids, want):
+            for value, i in _first(s, np.flatnonzero((labels == q["label"]) & (s >= q["tau"])), ids, want):
                 yield q["_h1"], q["_h2"], 0, value, i
 
     def last_of(best: DataFrame) -> DataFrame:
@@ -299,7 +301,7 @@ def hard_negatives(rows: DataFrame, anchors: Column, id_col: str = "vec_id", vec
 
     def other(queries, scores, labels, ids):
         for q, s in zip(queries, scores):
-            rest = labels != q["label"]
+            rest = (labels != q["label"]) & (s >= q["tau"])
             for limit in q["limits"]:
                 at = np.flatnonzero(rest & (100 * s <= high * limit) & (low * limit <= 100 * s))
                 for value, i in _first(s, at, ids, negatives):
