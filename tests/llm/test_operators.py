@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from fleetrisk.llm.components import components
+from fleetrisk.llm.components import _follow, components
 from fleetrisk.llm.lines import LineRuns, dedup_lines
 from fleetrisk.llm.packing import Plan, pack
 from fleetrisk.llm.quality import quality_rules
@@ -113,9 +113,20 @@ def test_simhash(spark, docs):
 
 
 def test_components(spark):
-    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, 1000 + i) for i in range(1, 40)] + [(7, 7)]
-    got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "node long, other long")).collect()}
-    assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(40)}
+    edges = [(i, i + 1) for i in range(0, 20)] + [(1000, 1000 + i) for i in range(1, 40)] + [(7, 7)]
+    for last in (0, 1000):
+        got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "node long, other long"), last=last).collect()}
+        assert got == {i: 0 for i in range(21)} | {1000 + i: 1000 for i in range(40)}
+
+
+def test_edges_of_a_hub_are_dealt_out(spark):
+    """The edges of a star, also those of one joined before, are many keys to the join that follows them."""
+    edges = spark.range(1, 4001).selectExpr("xxhash64(id) AS node", "0L AS other", "xxhash64(id, 0L) AS _edge")
+    to = spark.range(1, 3).selectExpr("xxhash64(id) AS node", "0L AS to")
+    got = _follow(edges, "other", to, "_edge")
+    assert got.count() == 4000 and {r.other for r in got.select("other").distinct().collect()} == {0}
+    parts = [len(p) for p in got.rdd.glom().collect()]
+    assert max(parts) < 2000
 
 
 def test_packing(spark, docs):
