@@ -278,12 +278,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             yield pd.DataFrame({"y": batch["_y"], "bag": [sorted(units(t)) for t in batch["_text"]]})
 
-    # The broadcast side has toxic_docs + clean_docs rows at most.
-    rows = texts.join(F.broadcast(chosen), "_id").mapInPandas(bagged, "y int, bag array<string>").collect()
-    rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0], r[1]))
-    sizes = Counter(y for y, _ in rows)
-    shares = tuple(counts.get(y, 0) / max(1, sizes[y]) for y in (0, 1))
-    return fit([set(b) for _, b in rows], [y for y, _ in rows], shares)
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted((y, b.tolist()) for batch in batches for y, b in zip(batch["y"].tolist(), batch["bag"]))
+        sizes = Counter(y for y, _ in rows)
+        model = fit([set(b) for _, b in rows], [y for y, _ in rows], tuple(counts.get(y, 0) / max(1, sizes[y]) for y in (0, 1)))
+        yield pd.DataFrame([(model.weights.astype("<f8").tobytes(), model.bias, model.slope, model.shift)],
+                           columns=["weights", "bias", "slope", "shift"])
+
+    # The broadcast side has toxic_docs + clean_docs rows at most, so one task can learn from them; the weights come back.
+    rows = texts.join(F.broadcast(chosen), "_id").mapInPandas(bagged, "y int, bag array<string>").repartition(1)
+    out = rows.mapInPandas(fitted, "weights binary, bias double, slope double, shift double").first()
+    return Model(np.frombuffer(out.weights, "<f8"), out.bias, out.slope, out.shift) if out else fit([], [], (1.0, 1.0))
 
 
 def toxicity(text: Column, model: Model) -> Column:
