@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 
 from fleetrisk.checks.mart_queries import INPUTS
-from fleetrisk.checks.registry import RUN_DATE, query
+from fleetrisk.checks.registry import RUN_DATE, TELEMETRY, query
 from fleetrisk.operators import models as ml
 from fleetrisk.operators import scoring
+from fleetrisk.operators.curves import nearest_by_curves, nearest_of, recall
 from fleetrisk.operators.features import fill_median
+from fleetrisk.operators.labels import next_fault, with_target
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.operators.training_sets import ordered_split
 from fleetrisk.plans.training import train_and_select
@@ -38,12 +40,61 @@ _trained("train_boosted", "boosted_trees", **BOOSTED)
 _trained("train_gbt", "gradient_boosting", maxIter=5, maxDepth=3)
 
 
-@query("smote_oversample")
+def rare_rows(spark, sf):
+    """Readings with every input, and whether a fault of more than 200 comes within seven days: few do."""
+    t = views.telemetry(spark, sf).withColumn("rare_fault", F.when(F.col("distance_km") > 200, F.col("fault_ts")))
+    t = with_target(next_fault(t, "rare_fault", "next_rare"), "next_rare", "ts", 7, "label")
+    return fill_median(t, ["engine_temperature"])
+
+
+RARE = TELEMETRY + """,
+upcoming AS (
+  SELECT *, min(CASE WHEN distance_km > 200 THEN fault_ts END) OVER (
+    PARTITION BY vehicle_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_rare FROM telemetry),
+rare AS (
+  SELECT *, CASE WHEN floor((epoch_us(next_rare) - epoch_us(ts)) / 86400e6) BETWEEN 0 AND 7 THEN 1 ELSE 0 END AS label FROM upcoming),
+classes AS (SELECT count(*) FILTER (label = 0) AS zeros, count(*) FILTER (label = 1) AS ones FROM rare)"""
+
+_SMOTE = """
+SELECT label, 0 AS synthetic, count(*) AS n, true AS in_bounds, true AS ids_known FROM rare GROUP BY label
+UNION ALL
+SELECT CASE WHEN ones <= zeros THEN 1 ELSE 0 END, 1, cast(floor(0.3 * greatest(ones, zeros)) AS bigint) - least(ones, zeros), true, true
+FROM classes WHERE floor(0.3 * greatest(ones, zeros)) > least(ones, zeros)"""
+
+
+def _oversampled(spark, sf, neighbours):
+    """Rows of each kind, and whether the made ones lie within the range of, and start from, real rows of their class."""
+    real = rare_rows(spark, sf).select("event_id", "label", *INPUTS)
+    made = oversample(real, "label", INPUTS, neighbours=neighbours)
+    ranges = real.groupBy("label").agg(*[f(c).cast("double").alias(f"{n}_{c}") for c in INPUTS for n, f in (("lo", F.min), ("hi", F.max))])
+    known = real.select(F.col("event_id").alias("_id"), F.col("label").alias("_label"))
+    within = F.lit(True)
+    for c in INPUTS:
+        within = within & F.col(c).between(F.col(f"lo_{c}") - 1e-6, F.col(f"hi_{c}") + 1e-6)
+    rows = made.join(F.broadcast(ranges), "label").join(known, (F.col("event_id") == F.col("_id")) & (F.col("label") == F.col("_label")), "left")
+    return rows.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"), F.every(within).alias("in_bounds"),
+                                                  F.every(F.col("_id").isNotNull()).alias("ids_known"))
+
+
+@query("smote_oversample", _SMOTE, "", RARE)
 def smote_oversample(spark, sf):
-    filled = fill_median(views.telemetry(spark, sf), ["engine_temperature"])
-    made = oversample(filled, "failure_in_next_7d", INPUTS)
-    return made.groupBy("failure_in_next_7d", "synthetic").agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in INPUTS])
+    return _oversampled(spark, sf, "exact")
+
+
+@query("smote_curves", _SMOTE, "", RARE)
+def smote_curves(spark, sf):
+    """The same from neighbours along curves."""
+    return _oversampled(spark, sf, "curves")
+
+
+@query("neighbour_recall", "SELECT count(*) AS queries, true AS recall_reached FROM telemetry WHERE event_id % 100 = 0", "", TELEMETRY)
+def neighbour_recall(spark, sf):
+    """Whether the neighbours along curves hold nine tenths of the exact ones, for every hundredth reading against all."""
+    rows = fill_median(views.telemetry(spark, sf).select("event_id", *INPUTS), ["engine_temperature"])
+    asked = rows.where("event_id % 100 = 0")
+    found = nearest_by_curves(rows, INPUTS, 5, "event_id").select(F.col("event_id").alias("id"), F.col("_near").alias("near"))
+    share = recall(found, nearest_of(asked, rows, INPUTS, 5, "event_id"), 5)
+    return share.select("queries", (F.col("recall") >= 0.9).alias("recall_reached"))
 
 
 @query("feature_select_rf")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetrisk.functions.numbers import finite
 from fleetrisk.operators import evaluation as ev
+from fleetrisk.operators.features import fill_median
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.operators.training_sets import expanding_folds, with_class_weights
 
@@ -193,7 +194,8 @@ def search(df: DataFrame, grids: dict[str, list[dict]], features: list[str], lab
 
 def _weighted(df: DataFrame, features: list[str], label: str, share: float | None, balanced: tuple) -> DataFrame:
     """Training input with a ``_weight``; oversampled if asked for."""
-    rows = oversample(df, label, features, share) if share else df
+    # Gaps are filled before rows are made from others, by the medians of these rows only.
+    rows = oversample(fill_median(df, features), label, features, share) if share else df
     rows = with_class_weights(rows, label, "_weight") if balanced else rows.withColumn("_weight", F.lit(1.0))
     return model_input(rows, features, label, "_weight")
 
