@@ -59,6 +59,65 @@ def stream_sliding(spark, sf):
     return _plain_times(_finish(spark, live.live_sliding(views.as_readings(events(spark, sf))), "sliding"))
 
 
+#: Slots of three days in which readings arrive, and those before which the stream is stopped and started again.
+SLOTS, RESTART = 10, 5
+
+# A tenth of the readings comes three slots late, when their day is long closed; others come late, but while it is open.
+_SLOT = "(date_diff('day', date '2024-01-01', cast(ts AS date)) // 3)"
+ARRIVALS = TELEMETRY + f""",
+placed AS (
+  SELECT *, CASE WHEN event_id % 10 = 0 AND {_SLOT} + 3 < {SLOTS} THEN {_SLOT} + 3
+    WHEN event_id % 10 = 1 AND cast(ts + interval 30 minute AS date) > cast(ts AS date) AND {_SLOT} + 1 < {SLOTS} THEN {_SLOT} + 1
+    ELSE {_SLOT} END AS slot, {_SLOT} AS own FROM telemetry),
+in_time AS (SELECT * FROM placed WHERE slot <= own + 1)"""
+
+
+def _arrived(spark, sf):
+    """Folders of the readings that arrive in each slot, in order; one file source reads them one after the other."""
+    rows = views.table(spark, sf, "events")
+    own = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 3)
+    soon = (F.col("ts") + F.expr("interval 30 minutes")).cast("date") > F.col("ts").cast("date")
+    slot = (F.when((F.col("event_id") % 10 == 0) & (own + 3 < SLOTS), own + 3)
+            .when((F.col("event_id") % 10 == 1) & soon & (own + 1 < SLOTS), own + 1).otherwise(own))
+    folder = scratch_path(spark, "arrivals")
+    for n in range(SLOTS):
+        yield folder, lambda n=n: rows.where(slot == n).coalesce(1).write.parquet(f"{folder}/slot_{n}")
+
+
+def _in_slots(spark, sf, run):
+    """run(readings), once over the slots before RESTART, and again when the others have come."""
+    folder = None
+    for n, (folder, write) in enumerate(_arrived(spark, sf)):
+        if n == RESTART:
+            run(_slots(spark, sf, folder))
+        write()
+    return run(_slots(spark, sf, folder))
+
+
+def _slots(spark, sf, folder):
+    schema = views.table(spark, sf, "events").schema
+    return views.as_readings(live.read_stream(spark, f"{folder}/*", schema, "part-*", files_per_batch=1))
+
+
+@query("stream_daily_late", f"""
+SELECT cast(date AS timestamp) AS window_start, cast(date + 1 AS timestamp) AS window_end, vehicle_id, count(*) AS n_readings,
+  {_MEANS}, {_COUNTS}, true AS some_dropped FROM in_time
+WHERE cast(date + 1 AS timestamp) <= (SELECT max(ts) - interval 1 hour FROM telemetry) GROUP BY date, vehicle_id""",
+       _MEAN_NAMES, ARRIVALS)
+def stream_daily_late(spark, sf):
+    """Ten batches with readings behind the lateness bound and within it, and a restart in between."""
+    path, state, dropped = scratch_path(spark, "daily-late"), scratch_path(spark, "daily-late-state"), []
+
+    def run(readings):
+        df = live.live_daily(readings)
+        dropped.append(live.dropped_rows(live.run_to_files(df, path, state)))
+        return df.schema
+
+    schema = _in_slots(spark, sf, run)
+    out = _plain_times(spark.read.schema(schema).parquet(path))
+    return out.withColumn("some_dropped", F.lit(sum(dropped) > 0))
+
+
 @query("stream_dedup", "SELECT event_id, vehicle_id FROM telemetry", "", TELEMETRY)
 def stream_dedup(spark, sf):
     """Every reading arrives twice and leaves once."""
@@ -75,8 +134,19 @@ SELECT vehicle_id, cast(sum(prediction) AS bigint) AS maintenance_alerts, count(
     WHEN avg(probability) <= 1 THEN 'High Risk' END AS risk_category
 FROM predictions GROUP BY vehicle_id""", "alert_rate avg_risk_score max_risk_score min_risk_score risk_score_std", PREDICTIONS)
 def stream_marts(spark, sf):
-    folder = scratch_path(spark, "summary")
-    p = views.as_predictions(views.as_readings(events(spark, sf)))
-    live.run_marts(p, scratch_path(spark, "summary-state"), live.mart_refresher(folder))
-    merged = live.merge_summaries(spark.read.parquet(folder))
-    return merged.withColumn("risk_category", risk_bucket(F.col("avg_risk_score")))
+    table = live.SummaryTable(scratch_path(spark, "summary"))
+    live.run_marts(views.as_predictions(views.as_readings(events(spark, sf))), scratch_path(spark, "summary-state"), table.refresh)
+    return table.summary(spark).withColumn("risk_category", risk_bucket(F.col("avg_risk_score")))
+
+
+@query("stream_marts_batches", """
+SELECT vehicle_id, cast(sum(prediction) AS bigint) AS maintenance_alerts, count(prediction) AS total_readings,
+  cast(sum(cast(probability AS decimal(18, 3))) AS double) AS total_risk, max(probability) AS max_risk_score,
+  min(probability) AS min_risk_score, stddev_samp(probability) AS risk_score_std, 2 AS states
+FROM predictions GROUP BY vehicle_id""", "total_risk max_risk_score min_risk_score risk_score_std", PREDICTIONS)
+def stream_marts_batches(spark, sf):
+    """The summary after ten batches and a restart, folded batch by batch; sums stand for means, which end on halves here."""
+    table, state = live.SummaryTable(scratch_path(spark, "summary")), scratch_path(spark, "summary-state")
+    _in_slots(spark, sf, lambda readings: live.run_marts(views.as_predictions(readings), state, table.refresh))
+    out = table.summary(spark).withColumn("total_risk", F.col("avg_risk_score") * F.col("total_readings"))
+    return out.drop("alert_rate", "avg_risk_score").withColumn("states", F.lit(len(table.versions(spark))))

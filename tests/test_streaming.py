@@ -38,24 +38,43 @@ def test_late_rows_and_repeats(spark, tmp_path):
 def test_restart_goes_on(spark, tmp_path):
     events = views.table(spark, SF, "events")
     (tmp_path / "in").mkdir()
-    folder, state = str(tmp_path / "marts"), str(tmp_path / "state")
+    table, state = live.SummaryTable(str(tmp_path / "marts")), str(tmp_path / "state")
     for i, part in enumerate((events.where("event_id < 600"), events.where("event_id >= 600"))):
         _write(part, tmp_path / "in", f"p{i}")
         p = views.as_predictions(_stream(spark, tmp_path / "in", events.schema))
-        live.run_marts(p, state, live.mart_refresher(folder))
-    merged = live.merge_summaries(spark.read.parquet(folder))
+        live.run_marts(p, state, table.refresh)
+    merged = table.summary(spark)
     batch = fleet_summary(views.predictions(spark, SF), "2024-01-01").drop("risk_category", "update_date")
     a, b = (sorted(map(str, tidy(d.select(sorted(d.columns))).collect())) for d in (merged, batch))
     assert a == b
 
 
-def test_partials_replace_themselves(spark, tmp_path):
+def test_repeated_batches_change_nothing(spark, tmp_path):
+    """Batches one after the other, the last two again after a failure, and one that was not written to its end."""
     p = views.predictions(spark, SF)
-    refresh = live.mart_refresher(str(tmp_path / "m"))
-    refresh(p, 0)
-    refresh(p, 0)  # the same batch after a failure
-    merged = live.merge_summaries(spark.read.parquet(str(tmp_path / "m")))
-    assert merged.agg(F.sum("total_readings")).first()[0] == 1000
+    table, parts = live.SummaryTable(str(tmp_path / "m")), [p.where(f"event_id % 5 = {i}") for i in range(5)]
+    for number in (0, 1, 2, 3, 3, 4, 4):
+        table.refresh(parts[number], number)
+    assert table.versions(spark) == [3, 4]
+    (tmp_path / "m" / "after=5").mkdir()
+    assert table.versions(spark) == [3, 4]
+    batch = fleet_summary(p, "2024-01-01").drop("risk_category", "update_date")
+    a, b = (sorted(map(str, tidy(d.select(sorted(d.columns))).collect())) for d in (table.summary(spark), batch))
+    assert a == b
+    # What a batch reads is one state and its own rows, however many batches came before.
+    assert len(spark.read.parquet(str(tmp_path / "m" / "after=4")).inputFiles()) <= len(
+        spark.read.parquet(str(tmp_path / "m" / "after=3")).inputFiles()) + 1
+
+
+def test_moments_keep_their_digits(spark):
+    """Probabilities that differ in the ninth digit; nulls, a null vehicle and one that comes later."""
+    rows = [("a", 0.9 + 1e-9 * (i % 3), 1) for i in range(30)] + [(None, 0.5, 0), ("b", None, None), ("b", 0.25, 0)]
+    df = spark.createDataFrame(rows, "vehicle_id string, probability double, prediction int").withColumn("n", F.monotonically_increasing_id())
+    parts = [live.partial_summary(df.where(F.col("n") % 3 == i)) for i in range(3)]
+    got = {r.vehicle_id: r for r in live.summary_of_state(live.merge_states(live.merge_states(*parts[:2]), parts[2])).collect()}
+    want = {r.vehicle_id: r for r in df.groupBy("vehicle_id").agg(F.stddev_samp("probability").alias("s"), F.avg("probability").alias("m")).collect()}
+    assert abs(got["a"].risk_score_std / want["a"].s - 1) < 1e-4 and abs(got["a"].avg_risk_score - want["a"].m) < 1e-12
+    assert got[None].total_readings == 1 and got[None].risk_score_std is None and got["b"].avg_risk_score == 0.25 and got["b"].total_readings == 1
 
 
 def test_live_risk_equals_batch(spark, tmp_path):
