@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,36 +33,39 @@ def terms(text: bytes | None) -> list[bytes]:
     return bytes(text or b"").translate(_PARTED).split()
 
 
+def _seeds(lang: str) -> tuple[int, int]:
+    """Where the hashes of a language's whole terms and of its prefixes begin."""
+    start = crc32(lang.encode("utf-8", "surrogatepass"))
+    return start, crc32(_MORE, start)
+
+
 def _bit(lang: str, key: bytes) -> int:
-    return xxhash.xxh64_intdigest(key, xxhash.xxh32_intdigest(lang)) % MAP_BITS
+    whole, more = _seeds(lang)
+    return (crc32(key[:-1], more) if key.endswith(_MORE) else crc32(key, whole)) % MAP_BITS
 
 
 class _Alive:
-    """Whether a key of a language may be live, by the map of bits; remembers a bounded number of answers."""
+    """Which terms of a language may be live, by the map of bits."""
 
-    def __init__(self, bits: np.ndarray | None):
-        self.bits, self.known = bits, defaultdict(dict)
+    def __init__(self, bits: bytes | None):
+        self.bits, self.seeds = bits, {}
 
-    def filtered(self, lang: str, found: set[bytes], size: int) -> list[bytes]:
+    def _seed(self, lang: str, prefix: bool) -> int:
+        if lang not in self.seeds:
+            self.seeds[lang] = _seeds(lang)
+        return self.seeds[lang][prefix]
+
+    def by_prefix(self, lang: str, found: set[bytes], size: int) -> list[bytes]:
         """The terms of more than `size` bytes whose prefix of that size is live."""
         if self.bits is None:
             return list(found)
-        known, out = self.known[lang], []
-        if len(known) > HELD:
-            known.clear()
-        for term in found:
-            if len(term) > size:
-                key = term[:size]
-                live = known.get(key)
-                if live is None:
-                    live = known[key] = self.has(lang, key + _MORE)
-                if live:
-                    out.append(term)
-        return out
-
-    def has(self, lang: str, key: bytes) -> bool:
-        bit = _bit(lang, key)
-        return bool(self.bits[bit >> 6] >> np.uint64(bit & 63) & np.uint64(1))
+        bits, seed, last = self.bits, self._seed(lang, True), MAP_BITS - 1
+        return [t for t in found if len(t) > size and bits[(h := crc32(t[:size], seed) & last) >> 3] >> (h & 7) & 1]
+
+    def whole(self, lang: str, found: Counter) -> dict[bytes, int]:
+        """The counts of terms that are live as a whole."""
+        bits, seed, last = self.bits, self._seed(lang, False), MAP_BITS - 1
+        return {t: n for t, n in found.items() if bits[(h := crc32(t, seed) & last) >> 3] >> (h & 7) & 1}
 
 
 def _flushed(counts: dict, columns: list[str]) -> pd.DataFrame:
@@ -71,7 +74,7 @@ def _flushed(counts: dict, columns: list[str]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=columns)
 
 
-def _level(docs: DataFrame, bits: np.ndarray | None, before: int, size: int) -> DataFrame:
+def _level(docs: DataFrame, bits: bytes | None, before: int, size: int) -> DataFrame:
     """Documents for each (lang, key) of this level: terms of up to `size` bytes, and prefixes of longer ones.
 
     Only terms whose prefix of `before` bytes is live count. Each document counts once for a key, and tasks pass on
@@ -83,7 +86,7 @@ def _level(docs: DataFrame, bits: np.ndarray | None, before: int, size: int) ->
         alive, counts = _Alive(shared.value), defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
-                found = alive.filtered(lang, set(terms(text)), before)
+                found = alive.by_prefix(lang, set(terms(text)), before)
                 counts[(lang,)].update({t if len(t) <= size else t[:size] + _MORE for t in found})
                 if len(counts[(lang,)]) > HELD:
                     yield _flushed(counts, ["lang", "key", "n"])
@@ -93,7 +96,7 @@ def _level(docs: DataFrame, bits: np.ndarray | None, before: int, size: int) ->
         F.sum("n").alias("n"))
 
 
-def _map(live: DataFrame) -> np.ndarray:
+def _map(live: DataFrame) -> bytes:
     """The map of bits of the keys; the driver gets MAP_BITS / 64 words at most."""
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -101,9 +104,9 @@ def _map(live: DataFrame) -> np.ndarray:
             yield pd.DataFrame({"word": bits >> 6, "bits": np.left_shift(np.uint64(1), (bits & 63).astype(np.uint64)).view(np.int64)})
 
     words = live.select("lang", "key").mapInPandas(hashed, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
-    out, found = np.zeros(MAP_BITS >> 6, np.uint64), words.toPandas()
+    out, found = np.zeros(MAP_BITS >> 6, "<u8"), words.toPandas()
     out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
+    return out.tobytes()
 
 
 def kept_terms(docs: DataFrame, least_docs: int) -> DataFrame:
@@ -131,15 +134,9 @@ def occurrences(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         alive, counts, columns = _Alive(shared.value), defaultdict(Counter), ["lang", "source", "term", "count"]
-        known: dict = defaultdict(dict)
         for batch in batches:
             for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                mine, found = known[lang], Counter(terms(text))
-                if len(mine) > HELD:
-                    mine.clear()
-                for term in found.keys() - mine.keys():
-                    mine[term] = alive.has(lang, term)
-                counts[(lang, source)].update({t: n for t, n in found.items() if mine[t]})
+                counts[(lang, source)].update(alive.whole(lang, Counter(terms(text))))
             if sum(map(len, counts.values())) > HELD:
                 yield _flushed(counts, columns)
         yield _flushed(counts, columns)
