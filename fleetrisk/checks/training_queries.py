@@ -1,5 +1,6 @@
 """Checked queries: models and oversampling. No SQL twin: these are rows-only."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from fleetrisk.checks.mart_queries import INPUTS
@@ -7,7 +8,7 @@ from fleetrisk.checks.registry import RUN_DATE, TELEMETRY, query
 from fleetrisk.operators import models as ml
 from fleetrisk.operators import scoring
 from fleetrisk.operators.curves import nearest_by_curves, nearest_of, recall
-from fleetrisk.operators.features import fill_median
+from fleetrisk.operators.features import FleetFeatures, fill_median
 from fleetrisk.operators.labels import next_fault, with_target
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.operators.training_sets import ordered_split
@@ -149,6 +150,45 @@ def save_load_model(spark, sf):
     return ml.predict(loaded, newest).select("event_id", "probability", "prediction")
 
 
+def readings_pipeline(spark, sf):
+    """(a model of raw readings, fitted on the older ones; the newest readings)."""
+    past, newest = ordered_split(views.telemetry(spark, sf))
+    stage = FleetFeatures(inputCols=INPUTS).fit(past)
+    table = stage.transform(past)
+    return ml.from_readings(stage, ml.train(table, "random_forest", stage.features(), "failure_in_next_7d", **FOREST)), newest
+
+
+@query("saved_pipeline", """
+SELECT event_id, 76 AS features_used, 0.5e0 AS noted_metric, true AS same_as_direct FROM telemetry
+QUALIFY row_number() OVER (ORDER BY ts, event_id) > count(*) OVER () - ceil(0.2 * count(*) OVER ())""", "noted_metric", TELEMETRY)
+def saved_pipeline(spark, sf):
+    """Raw readings scored by a loaded pipeline, against the features made and scored one after the other."""
+    pipeline, newest = readings_pipeline(spark, sf)
+    path = scratch_path(spark, "pipeline")
+    ml.save_model(pipeline, path, "random_forest", RUN_DATE, metrics={"roc_auc": 0.5})
+    loaded, meta = ml.load_model(path)
+    direct = ml.predict(PipelineModel(pipeline.stages[1:]), pipeline.stages[0].transform(newest))
+    direct = direct.select("event_id", F.col("probability").alias("_p"), F.col("prediction").alias("_y"))
+    both = ml.predict(loaded, newest).join(direct, "event_id", "full")
+    same = F.coalesce((F.col("probability") == F.col("_p")) & (F.col("prediction") == F.col("_y")), F.lit(False))
+    return both.crossJoin(F.broadcast(meta)).select("event_id", "features_used", F.col("metrics.roc_auc").alias("noted_metric"),
+                                                    same.alias("same_as_direct"))
+
+
+@query("pipeline_score", """
+SELECT event_id, vehicle_id, engine_temperature IS NULL AS rejected, engine_temperature IS NOT NULL AS consistent FROM telemetry
+QUALIFY row_number() OVER (ORDER BY ts, event_id) > count(*) OVER () - ceil(0.2 * count(*) OVER ())""", "", TELEMETRY)
+def pipeline_score(spark, sf):
+    """Raw readings through validation, the whole pipeline and advice; bad ones come back with their errors."""
+    pipeline, newest = readings_pipeline(spark, sf)
+    scored, rejected = scoring.score(newest, pipeline)
+    p = F.col("probability")
+    level = F.when(p > 0.8, "CRITICAL").when(p > 0.6, "HIGH").when(p > 0.4, "MEDIUM").otherwise("LOW")
+    fine = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int")) & (F.col("risk_level") == level)
+    return scored.select("event_id", "vehicle_id", F.lit(False).alias("rejected"), fine.alias("consistent")).unionByName(
+        rejected.select("event_id", "vehicle_id", F.lit(True).alias("rejected"), (F.size("errors") == 0).alias("consistent")))
+
+
 @query("batch_score")
 def batch_score(spark, sf):
     model = ml.train_random_forest(training_rows(spark, sf), FEATURES, **FOREST)

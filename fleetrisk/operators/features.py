@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from fleetrisk.functions import fixed, readings
 from fleetrisk.functions.numbers import count_if, finite, finite_columns, numeric_columns, ratio
 from fleetrisk.operators.ranks import exact_quantiles
+from fleetrisk.operators.training_sets import feature_columns
 from fleetrisk.operators.timeline import HOT_ROWS, Timeline, on_timeline
 
 MIN_ROWS = 3
@@ -207,8 +209,60 @@ def feature_catalog(spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, category string, business_impact string, description string")
 
 
-class FleetFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """``feature_table`` as an ML stage, so a saved model carries its own features."""
+class _FleetFeaturesParams(Params):
+    """How readings are keyed and ordered, which inputs get features, and what the fit has learned."""
+
+    keyCol = Param(Params._dummy(), "keyCol", "vehicle of a reading", TypeConverters.toString)
+    orderCols = Param(Params._dummy(), "orderCols", "order of a vehicle's readings", TypeConverters.toListString)
+    inputCols = Param(Params._dummy(), "inputCols", "inputs with features; by default all numbers but ids and targets", TypeConverters.toListString)
+    outputCols = Param(Params._dummy(), "outputCols", "the features in order, inputs included", TypeConverters.toListString)
+    medianCols = Param(Params._dummy(), "medianCols", "features with a median", TypeConverters.toListString)
+    medians = Param(Params._dummy(), "medians", "their medians", TypeConverters.toListFloat)
+
+    def __init__(self, **params):
+        super().__init__()
+        self._setDefault(keyCol="vehicle_id", orderCols=["ts", "event_id"])
+        self._set(**params)
+
+    def _layout(self) -> dict:
+        return {"key": self.getOrDefault(self.keyCol), "order": tuple(self.getOrDefault(self.orderCols))}
+
+
+class FleetFeatures(Estimator, _FleetFeaturesParams, DefaultParamsReadable, DefaultParamsWritable):
+    """``feature_table`` as an ML stage: the fit learns the medians, the model it gives is saved with them.
+
+    A pipeline that begins with it takes raw readings, in training and in scoring. Readings are scored with the history
+    they come with: the frames of a vehicle's first rows are those of a new vehicle.
+    """
+
+    def _fit(self, dataset: DataFrame) -> "FleetFeaturesModel":
+        inputs = self.getOrDefault(self.inputCols) if self.isSet(self.inputCols) else input_columns(dataset)
+        table = feature_table(dataset, inputs, medians=False, **self._layout())
+        outputs = feature_columns(table)
+        # The windows are computed once; the order statistics pass over their result.
+        table = table.select(outputs).persist()
+        try:
+            medians = {c: v[0] for c, v in exact_quantiles(table, outputs, [0.5]).items() if v[0] is not None}
+        finally:
+            table.unpersist()
+        return FleetFeaturesModel(keyCol=self.getOrDefault(self.keyCol), orderCols=self.getOrDefault(self.orderCols), inputCols=inputs,
+                                  outputCols=outputs, medianCols=list(medians), medians=[float(m) for m in medians.values()])
+
+
+class FleetFeaturesModel(Model, _FleetFeaturesParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Adds the features; what a vehicle has no value for at all is the median of the readings that were fitted."""
+
+    def features(self) -> list[str]:
+        return self.getOrDefault(self.outputCols)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return feature_table(dataset)
+        inputs = self.getOrDefault(self.inputCols)
+        missing = [c for c in (*inputs, self.getOrDefault(self.keyCol), *self.getOrDefault(self.orderCols)) if c not in dataset.columns]
+        if missing:
+            raise ValueError(f"columns not found: {', '.join(missing)}")
+        table = feature_table(dataset, inputs, medians=False, **self._layout())
+        medians = dict(zip(self.getOrDefault(self.medianCols), self.getOrDefault(self.medians)))
+        lost = [c for c in self.features() if c not in table.columns]
+        if lost:
+            raise ValueError(f"columns not found: {', '.join(lost)}")
+        return table.select(*[F.coalesce(finite(F.col(c)), F.lit(medians[c])).alias(c) if c in medians else F.col(c) for c in table.columns])

@@ -5,10 +5,10 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, VectorAssembler
+from pyspark.ml.feature import Imputer, ImputerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetrisk.functions.numbers import finite
 from fleetrisk.operators import evaluation as ev
-from fleetrisk.operators.features import fill_median
+from fleetrisk.operators.features import columns_with_nulls, fill_median
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.operators.training_sets import expanding_folds, with_class_weights
 
@@ -123,15 +123,22 @@ def train_gradient_boosting(df, features, label="label", **params) -> PipelineMo
 def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """df with ``probability`` of class 1 and ``prediction`` 0/1; the model's own columns are dropped."""
     features = feature_names(model)
+    inputs = [c for c in df.columns if c not in ("probability", "prediction")]
     clean = df.select(*[finite(F.col(c)).alias(c) if c in features else F.col(c) for c in df.columns])
     scored = model.transform(clean).withColumn("_p", vector_to_array("probability")[1])
-    keep = [F.col(c) for c in df.columns if c not in ("probability", "prediction")]
+    keep = [F.col(c) for c in inputs]
     return scored.select(*keep, F.col("_p").alias("probability"),
                          F.when(F.col("_p") > threshold, 1).otherwise(0).alias("prediction"))
 
 
 def feature_names(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].getInputCols())
+    """The features that go into the vector; a stage before may derive them from raw readings."""
+    return list(next(s for s in model.stages if isinstance(s, ImputerModel)).getInputCols())
+
+
+def from_readings(features: Transformer, model: PipelineModel) -> PipelineModel:
+    """A model of features as one of raw readings: what is saved, loaded and scored is the whole way."""
+    return PipelineModel([features, *model.stages])
 
 
 def roc_auc(model: PipelineModel, df: DataFrame, label: str) -> float:
@@ -195,7 +202,7 @@ def search(df: DataFrame, grids: dict[str, list[dict]], features: list[str], lab
 def _weighted(df: DataFrame, features: list[str], label: str, share: float | None, balanced: tuple) -> DataFrame:
     """Training input with a ``_weight``; oversampled if asked for."""
     # Gaps are filled before rows are made from others, by the medians of these rows only.
-    rows = oversample(fill_median(df, features), label, features, share) if share else df
+    rows = oversample(fill_median(df, columns_with_nulls(df, features)), label, features, share) if share else df
     rows = with_class_weights(rows, label, "_weight") if balanced else rows.withColumn("_weight", F.lit(1.0))
     return model_input(rows, features, label, "_weight")
 
@@ -282,14 +289,15 @@ def ensemble(models: list[PipelineModel], df: DataFrame, threshold: float = 0.5)
     return out.select(*keep, mean.alias("probability"), F.when(mean > threshold, 1).otherwise(0).alias("prediction"))
 
 
-def save_model(model: PipelineModel, path: str, name: str, trained: str, importance: bool = True) -> None:
-    """The model, a one-row metadata table and its importances under one folder."""
+def save_model(model: PipelineModel, path: str, name: str, trained: str, importance: bool = True, metrics: dict | None = None) -> None:
+    """The model, a one-row metadata table with its metrics, and its importances under one folder."""
     spark = SparkSession.getActiveSession()
     path = path.rstrip("/")
     model.write().overwrite().save(f"{path}/model")
     features = feature_names(model)
-    spark.createDataFrame([(name, len(features), features, trained)],
-                          "model_name string, features_used int, features array<string>, training_date string"
+    measured = {k: float(v) for k, v in (metrics or {}).items() if v is not None and not isinstance(v, str)}
+    spark.createDataFrame([(name, len(features), features, trained, measured)],
+                          "model_name string, features_used int, features array<string>, training_date string, metrics map<string,double>"
                           ).coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
     if importance:
         feature_importance(model, spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/importance")
@@ -299,4 +307,5 @@ def load_model(path: str) -> tuple[PipelineModel, DataFrame]:
     """(model, metadata)."""
     spark = SparkSession.getActiveSession()
     path = path.rstrip("/")
-    return PipelineModel.load(f"{path}/model"), spark.read.json(f"{path}/metadata")
+    schema = "model_name string, features_used int, features array<string>, training_date string, metrics map<string,double>"
+    return PipelineModel.load(f"{path}/model"), spark.read.schema(schema).json(f"{path}/metadata")

@@ -6,37 +6,44 @@ from pyspark.sql import DataFrame
 
 from fleetrisk.operators import evaluation as ev
 from fleetrisk.operators import models as ml
-from fleetrisk.operators.features import feature_table
-from fleetrisk.operators.training_sets import feature_columns, ordered_split
+from fleetrisk.operators.features import FleetFeatures, FleetFeaturesModel
+from fleetrisk.operators.training_sets import ordered_split
 from fleetrisk.session import lineage_cut
 
 
-def training_table(readings: DataFrame, target: str = "failure_in_next_7d", **layout) -> tuple[DataFrame, list[str]]:
-    """(features with order key and label, feature names). Written once: every fit starts from it."""
-    table = feature_table(readings, **layout)
-    features = feature_columns(table)
+def training_table(readings: DataFrame, target: str = "failure_in_next_7d", **params) -> tuple[DataFrame, FleetFeaturesModel]:
+    """(features with order key and label, the stage that makes them). Written once: every fit starts from it."""
+    stage = FleetFeatures(**params).fit(readings)
+    table = stage.transform(readings)
     keep = [c for c in ("vehicle_id", "ts", "event_id") if c in table.columns]
-    return lineage_cut(table.select(*keep, *features, table[target].alias("label"))), features
+    return lineage_cut(table.select(*keep, *stage.features(), table[target].alias("label"))), stage
 
 
 def train_and_select(readings: DataFrame, target: str = "failure_in_next_7d",
                      families=("random_forest", "boosted_trees", "gradient_boosting"), grids: dict | None = None,
                      test_share: float = 0.2, share: float | None = 0.3, folds: int = 5, parallelism: int = 2,
                      path: str | None = None, run_date: str = "") -> dict:
-    """Searches every family on the older rows and keeps the model with the best area on the newest ones."""
+    """Searches every family on the older rows and keeps the model with the best area on the newest ones.
+
+    The pipeline that is returned and saved takes raw readings; ``model`` is its part from the features on. The medians
+    of the features are those of all readings given.
+    """
     if target not in readings.columns:
         raise ValueError(f"Target column '{target}' not found in DataFrame")
-    table, features = training_table(readings, target)
+    table, stage = training_table(readings, target)
+    features = stage.features()
     past, newest = ordered_split(table, test_share)
     searches = ml.search(past, {f: (grids or {}).get(f) or ml.parameter_grid(f) for f in families}, features,
                          folds=folds, share=share, parallelism=parallelism)
     comparison, best = ml.compare_models({s.family: s.model for s in searches}, newest)
     model = next(s.model for s in searches if s.family == best)
+    pipeline = ml.from_readings(stage, model)
     if path:
-        ml.save_model(model, path, best, run_date)
+        metrics = comparison.where(comparison["model_name"] == best).drop("model_name").first().asDict()
+        ml.save_model(pipeline, path, best, run_date, metrics=metrics)
     scored = ml.predict(model, newest)
     return {
-        "model": model, "best": best, "searches": searches, "comparison": comparison, "predictions": scored,
+        "model": model, "pipeline": pipeline, "best": best, "searches": searches, "comparison": comparison, "predictions": scored,
         "scores": ml.scores_table(table.sparkSession, searches),
         "importance": ml.feature_importance(model, table.sparkSession),
         "savings": ev.business_savings(ev.confusion_matrix(scored)),

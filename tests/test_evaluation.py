@@ -11,6 +11,7 @@ from fleetrisk.functions import readings, risk
 from fleetrisk.operators import evaluation as ev
 from fleetrisk.operators import models as ml
 from fleetrisk.operators import quality, scoring, training_sets
+from fleetrisk.operators.features import FleetFeatures, FleetFeaturesModel
 from fleetrisk.operators.oversampling import oversample
 from fleetrisk.plans import dashboard, marts
 from fleetrisk.sources import files, views
@@ -219,6 +220,25 @@ def test_save_and_load(spark, training, tmp_path):
     assert meta.first()["features_used"] == 10 and meta.first()["training_date"] == "2023-01-01"
 
 
+def test_pipeline_of_raw_readings(spark, tmp_path):
+    """Features, medians and model survive saving; a vehicle without any value gets the medians that were fitted."""
+    t = views.telemetry(spark, "/root/testdata/sf0.001")
+    stage = FleetFeatures(inputCols=["engine_temperature", "oil_pressure"]).fit(t)
+    model = ml.train_logistic_regression(stage.transform(t), stage.features(), "failure_in_next_7d")
+    ml.save_model(ml.from_readings(stage, model), str(tmp_path / "p"), "logistic_regression", "2024-01-01", metrics={"roc_auc": 0.75})
+    loaded, meta = ml.load_model(str(tmp_path / "p"))
+    assert isinstance(loaded.stages[0], FleetFeaturesModel) and loaded.stages[0].features() == stage.features()
+    assert meta.first()["metrics"] == {"roc_auc": 0.75}
+    new = t.where("event_id < 3").withColumn("vehicle_id", F.lit("new")).withColumn("engine_temperature", F.lit(None).cast("double"))
+    medians = dict(zip(stage.getOrDefault("medianCols"), stage.getOrDefault("medians")))
+    rows = loaded.stages[0].transform(new).collect()
+    assert len(rows) == 3 and {r["engine_temperature_rolling_mean_7d"] for r in rows} == {medians["engine_temperature_rolling_mean_7d"]}
+    assert all(r[c] is not None for r in rows for c in stage.features())
+    assert {0 <= r["probability"] <= 1 for r in ml.predict(loaded, new).collect()} == {True}
+    with pytest.raises(ValueError):
+        loaded.transform(new.drop("oil_pressure"))
+
+
 def test_bad_training_data(spark):
     one = spark.createDataFrame([(1.0, 0), (2.0, 0)], "feature double, label int")
     for df, features in ((one, ["feature"]), (one.limit(0), ["feature"]), (one, [])):
