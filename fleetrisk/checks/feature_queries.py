@@ -240,6 +240,22 @@ def next_fault_asof(spark, sf):
     return with_next_fault(spark, sf).select(*KEYS, "next_fault_ts")
 
 
+@query("next_fault_two_tables", """
+SELECT r.event_id, r.vehicle_id, r.ts, f.fault_ts, f.code
+FROM (SELECT event_id, vehicle_id, ts FROM telemetry) AS r
+ASOF LEFT JOIN (
+  SELECT vehicle_id, fault_ts, min(code) AS code
+  FROM (SELECT vehicle_id, CASE WHEN event_id % 2 = 0 THEN ts ELSE date_trunc('day', ts) END AS fault_ts, event_id % 7 AS code
+        FROM telemetry WHERE fault_ts IS NOT NULL) AS g GROUP BY vehicle_id, fault_ts) AS f
+ON r.vehicle_id = f.vehicle_id AND r.ts <= f.fault_ts""", "", TELEMETRY)
+def next_fault_two_tables(spark, sf):
+    """Faults in a table of their own, some at the very time of a reading, several at one time."""
+    t = views.telemetry(spark, sf)
+    at = F.when(F.col("event_id") % 2 == 0, F.col("ts")).otherwise(F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    faults = t.where("fault_ts IS NOT NULL").select("vehicle_id", at.alias("fault_ts"), (F.col("event_id") % 7).alias("code"))
+    return labels.next_fault_from(t.select("event_id", "vehicle_id", "ts"), faults, carry=("code",))
+
+
 @query("days_to_fault", "SELECT event_id, vehicle_id, days_to_fault FROM dated", "", NEXT)
 def days_to_fault(spark, sf):
     return labelled(spark, sf).select(*KEYS, "days_to_fault")

@@ -65,7 +65,7 @@ SELECT '{RUN_DATE}' AS date_generated, count(DISTINCT vehicle_id) AS total_vehic
   count(*) FILTER (risk_score > 0.7e0) AS high_risk_vehicles FROM joined""",
        "failure_rate avg_engine_temp avg_oil_pressure avg_fuel_efficiency", JOINED)
 def fleet_kpis(spark, sf):
-    return db.fleet_kpis(left_join_predictions(spark, sf), RUN_DATE)
+    return db.fleet_kpis_joined(views.telemetry(spark, sf), views.daily_predictions(spark, sf), RUN_DATE)
 
 
 @query("weekly_trends", """

@@ -6,6 +6,8 @@ from fleetrisk.checks.registry import TELEMETRY, query
 from fleetrisk.functions import fixed
 from fleetrisk.operators import cleaning as cl
 from fleetrisk.operators import quality as dq
+from fleetrisk.operators import sketches as sk
+from fleetrisk.session import scratch_path
 from fleetrisk.sources import views
 
 COLUMNS = ["event_id", "ts", "vehicle_id", "date", "engine_temperature", "oil_pressure", "rpm", "battery_voltage",
@@ -246,3 +248,36 @@ def clean_readings(spark, sf):
         F.col("date").cast("string").alias("date"))
     out = cl.clean_readings(t.unionByName(t), categorical=["unit"], numerical=["engine_temperature"], dates=["date"])
     return out.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+# -- mergeable sketches -------------------------------------------------------------------------------
+
+_SKETCHED = ["engine_temperature", "oil_pressure", "rpm", "distance_km", "total_distance"]
+
+
+@query("sketch_profile", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, cast(min({c}) AS double) AS "min",
+  cast(max({c}) AS double) AS "max", true AS ranks_close, true AS distinct_close FROM telemetry""" for c in _SKETCHED), "min max", TELEMETRY)
+def sketch_profile(spark, sf):
+    """A profile merged from the written sketches of each day, held against exact ranks and numbers of distinct values."""
+    t, path = views.telemetry(spark, sf), scratch_path(spark, "sketches")
+    sk.sketch_table(t, ["date"], _SKETCHED).write.partitionBy("date").parquet(path)
+    profile = sk.approximate_profile(spark.read.parquet(path))
+    exact = t.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED])
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("_distinct")) for c in _SKETCHED])).alias("s")).select("s.*")
+    rows = profile.join(sk.rank_bounds(t, profile), "column").join(exact, "column")
+    close = F.abs(F.col("n_distinct") - F.col("_distinct")) <= sk.DISTINCT_ERROR * F.col("_distinct")
+    return rows.select("column", "rows", "nulls", "min", "max", (F.col("rank_error") <= sk.RANK_ERROR).alias("ranks_close"), close.alias("distinct_close"))
+
+
+@query("sketch_by_week", """
+SELECT cast(date_trunc('week', date) AS date) AS week, 'vehicle_id' AS "column", count(*) AS rows, true AS distinct_close
+FROM telemetry GROUP BY 1""", "", TELEMETRY)
+def sketch_by_week(spark, sf):
+    """Vehicles seen in each week, from the sketches of its days; days can be added up only as sketches."""
+    t = views.telemetry(spark, sf)
+    days = sk.sketch_table(t, ["date"], [], ["vehicle_id"]).withColumn("week", F.date_trunc("week", "date").cast("date"))
+    weeks = sk.approximate_profile(days, ["week"])
+    exact = t.groupBy(F.date_trunc("week", "date").cast("date").alias("week")).agg(F.count_distinct("vehicle_id").alias("_n"))
+    close = F.abs(F.col("n_distinct") - F.col("_n")) <= sk.DISTINCT_ERROR * F.col("_n")
+    return weeks.join(exact, "week").select("week", "column", "rows", close.alias("distinct_close"))

@@ -28,6 +28,30 @@ def next_fault(df: DataFrame, fault: str = "fault_ts", new: str = "next_fault_ts
     return on_timeline(df, lambda t: t.next_min(new, fault), **layout)
 
 
+def next_fault_from(readings: DataFrame, faults: DataFrame, fault: str = "fault_ts", carry: tuple = (), key: str = "vehicle_id",
+                    ts: str = "ts", seq: str = "event_id", inclusive: bool = True, **layout) -> DataFrame:
+    """readings with the next fault of the same vehicle in a table of faults: its time, and the columns ``carry`` of it.
+
+    An as-of join without a range join: both tables are ordered together, and each reading takes the least fault after
+    it; a vehicle with very many rows is cut into blocks. With ``inclusive`` a fault at the very time of a reading is its next one.
+    Of several faults of one time the one with the least carried columns is taken. Readings without a vehicle or time
+    have none, and so have those after the last fault; faults without a vehicle or time count for nothing.
+    """
+    clash = [c for c in (fault, *carry) if c in readings.columns]
+    if clash:
+        raise ValueError(f"columns are there already: {', '.join(clash)}")
+    at = F.struct(F.col(fault).alias("at"), *[F.col(c) for c in carry])
+    kind = dict(readings.dtypes)[ts]
+    known = faults.where(F.col(key).isNotNull() & F.col(fault).isNotNull()).select(
+        F.col(key), F.col(fault).cast(kind).alias(ts), at.alias("_at"))
+    # Equal times: readings first where faults of their time are to be found.
+    rows = readings.withColumn("_kind", F.lit(1)).unionByName(
+        known.withColumn("_kind", F.lit(2 if inclusive else 0)), allowMissingColumns=True)
+    found = on_timeline(rows, lambda t: t.next_min("_next", "_at"), key=key, order=(ts, "_kind", seq), **layout).where("_kind = 1")
+    placed = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    return found.select(*readings.columns, *[F.when(placed, F.col(f"_next.{'at' if c == fault else c}")).alias(c) for c in (fault, *carry)])
+
+
 def class_balance(df: DataFrame, target: str) -> DataFrame:
     """(target, n, rate): two steps, so the total needs no second scan."""
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("n"))

@@ -43,6 +43,38 @@ def fleet_kpis(df: DataFrame, run_date: str) -> DataFrame:
     ).select(F.lit(run_date).alias("date_generated"), "*")
 
 
+def fleet_kpis_joined(readings: DataFrame, predictions: DataFrame, run_date: str) -> DataFrame:
+    """``fleet_kpis`` of ``join_predictions(readings, predictions)``, without a join of readings.
+
+    Readings become sums for each vehicle and day before the join, so what is shuffled are vehicles and days. A prediction
+    counts once for each reading of its day, as it would in the joined rows.
+    """
+    ratios = ratio(F.col("distance_km"), F.col("fuel_consumption")) if "fuel_consumption" in readings.columns else F.lit(0.0)
+    means = {"failure_rate": F.col("failure_in_next_7d"), "avg_engine_temp": F.col("engine_temperature"),
+             "avg_oil_pressure": F.col("oil_pressure"), "avg_fuel_efficiency": ratios}
+    days = readings.withColumn("date", F.col("date").cast("date")).groupBy("vehicle_id", "date").agg(
+        F.count(F.lit(1)).alias("_n"), *[a for name, x in means.items() for a in (F.sum(x).alias(f"_s_{name}"), F.count(x).alias(f"_c_{name}"))])
+    joined = join_predictions(days, predictions)
+    n = F.col("_n")
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(F.col(c) * n), F.lit(0)).cast("bigint") if c in predictions.columns else F.lit(0).cast("bigint")
+
+    high = F.sum(F.when(F.col("risk_score") > 0.7, n)) if "risk_score" in predictions.columns else F.lit(None)
+    mean = lambda name: F.try_divide(F.sum(f"_s_{name}"), F.sum(f"_c_{name}")).alias(name)
+    return joined.agg(
+        F.count_distinct("vehicle_id").alias("total_vehicles"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total_observations"),
+        mean("failure_rate"),
+        total("predicted_failure").alias("predicted_failures"),
+        total("true_positive").alias("true_positives"),
+        total("false_positive").alias("false_positives"),
+        mean("avg_engine_temp"), mean("avg_oil_pressure"), mean("avg_fuel_efficiency"),
+        total("maintenance_required").alias("vehicles_requiring_maintenance"),
+        F.coalesce(high, F.lit(0)).cast("bigint").alias("high_risk_vehicles"),
+    ).select(F.lit(run_date).alias("date_generated"), "*")
+
+
 def weekly_trends(df: DataFrame) -> DataFrame:
     """Weeks end on, and are named by, their Sunday; weeks without readings are present.
 
