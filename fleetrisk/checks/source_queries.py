@@ -78,3 +78,42 @@ def sink_parquet(spark, sf):
 @query("sink_table", _SQL, _DOUBLES, TELEMETRY)
 def sink_table(spark, sf):
     return _as_table(spark, sf, "fleet_sink_readings")
+
+
+# -- records that cannot be read -----------------------------------------------------------------------
+
+_DAMAGE = "event_id bigint, vehicle_id string, rpm double, battery_voltage double"
+_REJECTS = """
+SELECT event_id, event_id % 50 = 0 OR event_id % 70 = 0 AS rejected,
+  CASE WHEN NOT (event_id % 50 = 0 OR event_id % 70 = 0) THEN rpm END AS rpm FROM telemetry"""
+
+
+def _both(good, rejects, pattern):
+    lost = rejects.select(F.regexp_extract("record", pattern, 1).cast("bigint").alias("event_id"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("rpm"))
+    return good.select("event_id", F.lit(False).alias("rejected"), "rpm").unionByName(lost)
+
+
+@query("scan_csv_rejects", _REJECTS, "rpm", TELEMETRY)
+def scan_csv_rejects(spark, sf):
+    """Every fiftieth record has a word for a number, every seventieth ends early; the rest is read as it is."""
+    path, t = scratch_path(spark, "damaged.csv"), views.telemetry(spark, sf)
+    whole = F.concat_ws(",", F.col("event_id"), "vehicle_id", F.when(F.col("event_id") % 50 == 0, "much").otherwise(F.col("rpm").cast("string")), "battery_voltage")
+    line = F.when(F.col("event_id") % 70 == 0, F.concat_ws(",", F.col("event_id"), "vehicle_id")).otherwise(whole)
+    # Each file begins with the header: the first row of a partition has number 0 in the low bits.
+    head = F.when(F.monotonically_increasing_id() % 2**33 == 0, "event_id,vehicle_id,rpm,battery_voltage\n").otherwise("")
+    t.select(F.concat(head, line).alias("value")).write.text(path)
+    return _both(*files.read_with_rejects(spark, path, _DAMAGE), r"^(\d+),")
+
+
+@query("scan_json_rejects", _REJECTS, "rpm", TELEMETRY)
+def scan_json_rejects(spark, sf):
+    """The same in JSON arrays: a word for a number, and an object that breaks off."""
+    path, t = scratch_path(spark, "damaged.json"), views.telemetry(spark, sf)
+    whole = F.to_json(F.struct("event_id", "vehicle_id", F.col("rpm").cast("string").alias("rpm"), "battery_voltage"))
+    whole = F.regexp_replace(whole, '"rpm":"([^"]*)"', '"rpm":$1')
+    value = (F.when(F.col("event_id") % 70 == 0, F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(', "vehicle_id" "V"}')))
+             .when(F.col("event_id") % 50 == 0, F.regexp_replace(whole, '"rpm":[^,]*', '"rpm":"much"')).otherwise(whole))
+    last = t.agg(F.max("event_id")).first()[0]
+    mark = F.when(F.col("event_id") == last, "]").otherwise(",")
+    t.select(F.concat(value, mark).alias("value")).write.text(path)
+    return _both(*files.read_with_rejects(spark, path, _DAMAGE, array=True), r'"event_id":\s*(\d+)')

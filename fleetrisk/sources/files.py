@@ -39,6 +39,47 @@ def read_readings(spark: SparkSession, path: str, schema: T.StructType | str | N
     raise ValueError("Unsupported file format. Use CSV or JSON.")
 
 
+def read_with_rejects(spark: SparkSession, path: str, schema: T.StructType | str, array: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(readings, rejects) of CSV with a header or of JSON by extension: a record that cannot be read whole is not one of nulls.
+
+    rejects has the text of each record with an unreadable value, too few or too many CSV fields or broken JSON, and its
+    file. Records of either table add up to those of the files. CSV records are lines, and the header names the columns of the
+    schema in their order. JSON has an object on each line or, with ``array``, arrays of flat objects: those are read by
+    their closing braces, so that one large array is shared among tasks, and an object with a brace inside a text is rejected.
+    A JSON field that is not there is null. NaN and infinities are read as null.
+    """
+    kind = path.rstrip("/").rsplit(".", 1)[-1].lower()
+    if kind not in ("csv", "json"):
+        raise ValueError("Unsupported file format. Use CSV or JSON.")
+    if not isinstance(schema, T.StructType):
+        schema = T.StructType.fromDDL(schema)
+    clash = {"_corrupt", "_text"} & set(schema.names)
+    if clash:
+        raise ValueError(f"columns are there already: {', '.join(sorted(clash))}")
+    reader = spark.read.option("lineSep", "}") if array and kind == "json" else spark.read
+    lines = reader.text(path).select(F.col("value").alias("_text"), F.col("_metadata.file_path").alias("file"))
+    with_text = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())]).simpleString()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    if kind == "csv":
+        first = lines.where(F.trim("_text") != "").first()
+        header = first["_text"] if first else ""
+        named = [n.strip().strip('"') for n in header.split(",")]
+        if first and named != schema.names:
+            raise ValueError(f"the header {named} does not name the columns {schema.names}")
+        lines = lines.where((F.trim("_text") != "") & (F.col("_text") != header))
+        record = F.from_csv("_text", with_text.removeprefix("struct<").removesuffix(">").replace(":", " "), options)
+    else:
+        if array:
+            piece = F.regexp_replace("_text", r"^[\s,\[\]]+", "")
+            lines = lines.withColumn("_text", F.when(piece != "", F.concat(piece, F.lit("}"))).otherwise(""))
+        lines = lines.where(F.trim("_text") != "")
+        record = F.from_json("_text", with_text, options)
+    rows = lines.withColumn("_record", record)
+    bad = F.col("_record").isNull() | F.col("_record._corrupt").isNotNull()
+    good = rows.where(~bad).select(*[F.col("_record").getField(n).alias(n) for n in schema.names])
+    return finite_columns(good), rows.where(bad).select(F.col("_text").alias("record"), "file")
+
+
 def write_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
     """CSV with a header or parquet by extension, replacing what is there.
 

@@ -11,6 +11,7 @@ from fleetrisk.operators import labels
 from fleetrisk.operators import quality as dq
 from fleetrisk.operators import sketches as sk
 from fleetrisk.plans import dashboard as db
+from fleetrisk.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -101,3 +102,26 @@ def test_sketches_are_merged(spark):
     low, high = sk.approximate_bounds(table)["x"]
     assert low < got["x"].p25 < got["x"].p75 < high
     assert sk.approximate_profile(sk.sketch_table(df.limit(0), ["day"], ["x"])).count() == 0
+
+
+def test_rejected_records(spark, tmp_path):
+    """Every record of a file is in one of the tables, with its text if it cannot be read."""
+    schema = "id int, name string, x double, at timestamp"
+    (tmp_path / "a.csv").write_text('id,name,x,at\n1,"a, b",1.5,2024-01-01T00:00:00\n2,c,one,2024-01-01T00:00:00\n3,d\n\n4,e,2.5,2024-01-02T00:00:00,more\n5,,NaN,\n')
+    good, bad = files.read_with_rejects(spark, str(tmp_path / "a.csv"), schema)
+    assert [(r.id, r.name, r.x) for r in good.orderBy("id").collect()] == [(1, "a, b", 1.5), (5, None, None)]
+    assert sorted(r.record[:4] for r in bad.collect()) == ["2,c,", "3,d", "4,e,"] and "a.csv" in bad.first().file
+    assert files.read_readings(spark, str(tmp_path / "a.csv"), schema).count() == 5  # unseen nulls without it
+    with pytest.raises(ValueError):
+        files.read_with_rejects(spark, str(tmp_path / "a.csv"), "id int, x double, name string, at timestamp")
+    with pytest.raises(ValueError):
+        files.read_with_rejects(spark, str(tmp_path / "a.txt"), schema)
+    (tmp_path / "b.json").write_text('{"id": 1, "name": "a"}\n{"id": "no", "name": "b"}\n{"id": 3, "na\n\n{"id": 4, "x": 2.5}\n')
+    good, bad = files.read_with_rejects(spark, str(tmp_path / "b.json"), schema)
+    assert [(r.id, r.name, r.x) for r in good.orderBy("id").collect()] == [(1, "a", None), (4, None, 2.5)]
+    assert sorted(r.record for r in bad.collect()) == ['{"id": "no", "name": "b"}', '{"id": 3, "na']
+    (tmp_path / "c.json").write_text('[{"id": 1, "name": "a, [b"},\n {"id": 2, "name": "x}y"}, {"id": 3}\n]\n')
+    good, bad = files.read_with_rejects(spark, str(tmp_path / "c.json"), schema, array=True)
+    assert [(r.id, r.name) for r in good.orderBy("id").collect()] == [(1, "a, [b"), (3, None)] and bad.count() == 2
+    (tmp_path / "d.json").write_text("[]")
+    assert [df.count() for df in files.read_with_rejects(spark, str(tmp_path / "d.json"), schema, array=True)] == [0, 0]
