@@ -8,15 +8,23 @@ from fleetrisk.operators import evaluation as ev
 from fleetrisk.operators import models as ml
 from fleetrisk.operators.features import FleetFeatures, FleetFeaturesModel
 from fleetrisk.operators.training_sets import ordered_split
-from fleetrisk.session import lineage_cut
+from fleetrisk.session import scratch_path
 
 
 def training_table(readings: DataFrame, target: str = "failure_in_next_7d", **params) -> tuple[DataFrame, FleetFeaturesModel]:
-    """(features with order key and label, the stage that makes them). Written once: every fit starts from it."""
+    """(features with order key and label, the stage that makes them). Written once: every fit starts from it.
+
+    The rows are parquet in the order of time, so a split or fold, which is a comparison with literals, reads its own row
+    groups, and a fit reads only the columns that it needs.
+    """
     stage = FleetFeatures(**params).fit(readings)
     table = stage.transform(readings)
-    keep = [c for c in ("vehicle_id", "ts", "event_id") if c in table.columns]
-    return lineage_cut(table.select(*keep, *stage.features(), table[target].alias("label"))), stage
+    order = list(stage.getOrDefault("orderCols"))
+    keep = [c for c in (stage.getOrDefault("keyCol"), *order) if c in table.columns]
+    table = table.select(*keep, *stage.features(), table[target].alias("label"))
+    path = scratch_path(table.sparkSession, "training")
+    table.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path), stage
 
 
 def train_and_select(readings: DataFrame, target: str = "failure_in_next_7d",
