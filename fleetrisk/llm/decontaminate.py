@@ -56,13 +56,16 @@ class Matcher:
     into two parts of which one again holds fewer errors than pieces; so of the pieces left whole there is one around
     which 2, 4 and 8 pieces, counted off from the first, match with fewer errors than pieces too. A hit is verified in
     these steps, which end nearly all chance hits early, and then as a whole.
+
+    Items of fewer than short_chars characters would be found within longer words everywhere; they are searched for with the
+    same share of edits, but must begin and end at the borders of words.
     """
 
-    def __init__(self, items: list[tuple[int, str]], rate: float, least_chars: int):
+    def __init__(self, items: list[tuple[int, str]], rate: float, short_chars: int):
         self.items, self.automaton, places = [], ahocorasick.Automaton(), defaultdict(list)
         for item_id, text in items:
             text = normalised(text)
-            if len(text) < least_chars:
+            if not text:
                 continue
             budget = int(len(text) * rate)
             cuts = [len(text) * i // (budget + 1) for i in range(budget + 2)]
@@ -71,7 +74,7 @@ class Matcher:
             for j, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 steps = [parts[j // m] for parts, m in zip(around, (2, 4, 8))]
                 places[text[a:b]].append((len(self.items), a, [p for p in steps if p.budget]))
-            self.items.append((item_id, text, budget, _masks(text), _masks(text[::-1])))
+            self.items.append((item_id, text, budget, _masks(text), _masks(text[::-1]), len(text) < short_chars))
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
         if places:
@@ -89,7 +92,12 @@ class Matcher:
                     starts[item].add(start)
         found = []
         for item, places in starts.items():
-            item_id, pattern, budget, forward, backward = self.items[item]
+            item_id, pattern, budget, forward, backward, short = self.items[item]
+            if short:
+                best, start, end = _between_words(text, places, pattern, budget)
+                if best <= budget:
+                    found.append({"item_id": item_id, "distance": best, "start": start, "end": end})
+                continue
             best, end = budget + 1, 0
             if (at := text.find(pattern)) >= 0 and places:
                 best, end = 0, at + len(pattern)
@@ -104,6 +112,29 @@ class Matcher:
         return found
 
 
+def _between_words(text: str, starts: set[int], pattern: str, budget: int) -> tuple[int, int, int]:
+    """The least distance of the pattern to a part of text near the places that begins and ends at borders of words, and that part."""
+    def border(i: int) -> bool:
+        return i in (0, len(text)) or 0 < i < len(text) and not (text[i - 1].isalnum() and text[i].isalnum())
+
+    best = (budget + 1, 0, 0)
+    for start in sorted({s for at in starts for s in range(max(0, at - budget), at + budget + 1)}):
+        for end in range(start + len(pattern) - budget, min(len(text), start + len(pattern) + budget) + 1):
+            if start < end and border(start) and border(end):
+                best = min(best, (_distance(text[start:end], pattern), start, end))
+    return best
+
+
+def _distance(a: str, b: str) -> int:
+    """The edit distance of two short strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
 class _Part:
     """Neighbouring pieces of an item, and whether they are near their place with fewer errors than pieces."""
 
@@ -141,13 +172,14 @@ def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       rate: float = 0.1, least_chars: int = 20, item_id: str = "item_id", item_text: str = "text",
+                       rate: float = 0.1, short_chars: int = 20, item_id: str = "item_id", item_text: str = "text",
                        block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(id_col, item_id, distance, start, end): each benchmark item found in each of docs, at its best place.
 
     An item is found where a part of the text has an edit distance of at most rate times its length, both in lower case
     and with runs of white space as one space; start and end are places in the text so normalised. Whole texts are
-    searched. Items of fewer than least_chars characters then, empty and null ones too, are not looked for.
+    searched. Items of fewer than short_chars characters then must begin and end at borders of words; empty and null
+    ones are not looked for.
     Null and empty texts have none; repeated rows and items give repeated results; other columns are not looked at.
 
     The items are a stated query set: they go to every task, in blocks of bounded size, one pass over docs for each.
@@ -156,7 +188,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     kind, out = docs.schema[id_col].dataType.simpleString(), None
     for items in blocks(benchmark, item_id, item_text, block_chars):
         def search(batches: Iterator[pd.DataFrame], items=items) -> Iterator[pd.DataFrame]:
-            match = Matcher(items, rate, least_chars)
+            match = Matcher(items, rate, short_chars)
             for batch in batches:
                 found = [{"_id": i, **hit} for i, t in zip(batch["_id"], batch["_text"]) for hit in match(t)]
                 yield pd.DataFrame(found, columns=["_id", "item_id", "distance", "start", "end"])
@@ -167,17 +199,17 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", rate: float = 0.1,
-                          least_chars: int = 20, block_chars: int = BLOCK_CHARS) -> DataFrame:
+                          short_chars: int = 20, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """docs without those in which find_contamination() finds an item."""
     for items in blocks(benchmark, "item_id", "text", block_chars):
-        docs = docs.filter(~_contaminated(F.col(text_col), items, rate, least_chars))
+        docs = docs.filter(~_contaminated(F.col(text_col), items, rate, short_chars))
     return docs
 
 
-def _contaminated(text: Column, items: list[tuple[int, str]], rate: float, least_chars: int) -> Column:
+def _contaminated(text: Column, items: list[tuple[int, str]], rate: float, short_chars: int) -> Column:
     @F.pandas_udf("boolean")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        match = Matcher(items, rate, least_chars)
+        match = Matcher(items, rate, short_chars)
         for texts in batches:
             yield pd.Series([bool(match(t)) for t in texts], dtype="bool")
 

@@ -46,6 +46,17 @@ def test_edge_rows(spark):
                                   (3, "a quick brown fox jumps over it", "x")], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame([(7, "a quick brown fox jumps over it"), (8, None), (9, ""), (10, "fox")], "item_id long, text string")
     got = sorted((str(r[0]), r[1], r[2]) for r in find_contamination(docs, bench).collect())
-    assert got == [("3", 7, 0), ("None", 7, 0)]
+    assert got == [("3", 7, 0), ("3", 10, 0), ("None", 7, 0), ("None", 10, 0)]
     assert find_contamination(docs, bench.limit(0)).count() == 0
     assert sorted(r[0] for r in without_contamination(docs, bench).collect()) == [1, 2]
+
+
+def test_short_items_at_word_borders():
+    """Items of every length on both sides of the limit, with and without an edit, alone, in quotes and inside longer words."""
+    match = Matcher([(1, "Who wrote Hamlet?"), (2, "ox"), (3, "to be or not to be, that"), (4, "!")], 0.1, 20)
+    ids = lambda text: {h["item_id"]: (h["distance"], normalised(text)[h["start"]:h["end"]]) for h in match(text)}
+    assert ids('they asked "who  wrote hamlet?" and left') == {1: (0, "who wrote hamlet?")}
+    assert ids("who wrote hamlets? it was") == {1: (1, "who wrote hamlets?")} and ids("who wrotte hamlett? it was") == {}
+    assert ids("foxes and oxen") == {} and ids("an ox, two") == {2: (0, "ox")} and ids("ox") == {2: (0, "ox")}
+    assert ids("xto be or not to be, thaty") == {3: (0, "to be or not to be, that")}
+    assert ids("well !") == {4: (0, "!")} and ids("") == {}
