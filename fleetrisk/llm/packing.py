@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import digest, staged
 
-#: Pieces of one length that are ranked by one task.
-RANKED = 200_000
+#: Pieces of one length that are ranked together, about; so a length that many texts have is many keys.
+RANKED = 1_000
 
 
 class Plan:
@@ -117,15 +117,15 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
     rows = staged(pieces(docs, id_col, text_col, longest), "pieces")
     counts = {r[0]: r[1] for r in rows.groupBy("length").agg(F.count("*")).collect()}
     plan = Plan(counts, list(lengths), overhead)
-    # Many pieces of one length are ranked in several parts, by a hash.
+    # The pieces of one length are ranked in parts, by a hash.
     parts = spark.createDataFrame([(n, -(-c // RANKED)) for n, c in counts.items()], "length long, _parts int")
     rows = rows.join(F.broadcast(parts), "length").withColumn("_part", F.expr("cast(pmod(xxhash64(_k1, piece), _parts) as int)"))
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("length", "_part").agg(F.count("*").alias("_n"))
-    # One row for RANKED pieces or for a length.
+    # One row for RANKED pieces or for a length, joined on the partitioning that the ranks need anyway.
     sizes = sizes.select("length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     place = F.row_number().over(Window.partitionBy("length", "_part").orderBy("_k1", "_k2", "piece"))
-    rows = rows.withColumn("_place", place).join(F.broadcast(sizes), ["length", "_part"])
+    rows = rows.withColumn("_place", place).join(sizes, ["length", "_part"])
     rows = rows.select(F.col("_id").alias(id_col), "piece", "start", "length", (F.col("_before") + F.col("_place") - 1).alias("_rank"))
 
     table = np.array(sorted(plan.parts), np.int64).reshape(-1, 7)
