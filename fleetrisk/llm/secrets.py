@@ -24,9 +24,10 @@ CANDIDATE = "[A-Za-z0-9+/_=-]{%d,}+"
 CLASSES = [("digits", "^[0-9]+$", 3.1), ("hex", "^[0-9a-fA-F]+$", 3.2), ("letters", "^[A-Za-z]+$", 4.1),
            ("mixed", "", 3.7)]
 
-#: Candidates that are no secrets: UUIDs, samples, placeholders, counted-up characters, eight of one character.
-ALLOWED = (r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|sample|placeholder|changeme|your[_-]"
-           r"|0123456789|1234567890|abcdefgh|(.)\2{7}")
+#: Candidates that are no secrets as a whole: UUIDs.
+ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$"
+#: Parts that are none: samples, placeholders, counted-up characters, eight of one character. Windows that overlap one don't count.
+ALLOWED_PARTS = r"(?i)example|sample|placeholder|changeme|your[_-]|0123456789|1234567890|abcdefgh|(.)\1{7}"
 
 _BLOCK = 256
 _ZERO = 65
@@ -83,8 +84,8 @@ def _spans(found: Column, kind: str) -> Column:
         m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end")))
 
 
-def _flagged(candidate: Column, window: int) -> Column:
-    """First and last place where a window of high entropy ends; first is null if there is none.
+def _flagged(candidate: Column, window: int, parts: Column) -> Column:
+    """First and last place where a window of high entropy ends that overlaps none of the parts; first is null if there is none.
 
     A window's entropy is log2(window) - sum(c log2 c) / window over the counts c of its characters. The counts are
     kept in a string, one character for each symbol; each step changes two of them and the sum by
@@ -107,11 +108,12 @@ def _flagged(candidate: Column, window: int) -> Column:
 
         return _let(count(state["counts"], symbol), put)
 
-    def scan(chars: Column, limit: Column) -> Column:
+    def scan(chars: Column, limit: Column, parts: Column) -> Column:
         def step(a: Column, i: Column) -> Column:
             moved = _let(changed(a["window"], F.get(chars, i), 1),
                          lambda w: F.when(i >= window, changed(w, F.get(chars, i - window), -1)).otherwise(w))
-            return _let(moved, lambda w: _let((i >= window - 1) & (w["total"] <= limit), lambda high: F.struct(
+            free = ~F.exists(parts, lambda p: (p["start"] <= i) & (p["end"] > i - (window - 1)))
+            return _let(moved, lambda w: _let((i >= window - 1) & (w["total"] <= limit) & free, lambda high: F.struct(
                 w.alias("window"), F.when(high & a["first"].isNull(), i).otherwise(a["first"]).alias("first"),
                 F.when(high, i).otherwise(a["last"]).alias("last"))))
 
@@ -120,21 +122,22 @@ def _flagged(candidate: Column, window: int) -> Column:
         done = F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step)
         return _let(done, lambda d: F.struct(d["first"].alias("first"), d["last"].alias("last")))
 
-    return _let(F.struct(F.split(candidate, "").alias("chars"), most.alias("limit")),
-                lambda c: scan(c["chars"], c["limit"]))
+    return _let(F.struct(F.split(candidate, "").alias("chars"), most.alias("limit"), parts.alias("parts")),
+                lambda c: scan(c["chars"], c["limit"], c["parts"]))
 
 
-def entropy_spans(text: Column, base: Column, window: int, allowed: str) -> Column:
+def entropy_spans(text: Column, base: Column, window: int, allowed: str, allowed_parts: str) -> Column:
     """Spans of candidate strings from the first to the last window of high entropy.
 
-    Left out are candidates that match the allow-list and those that lie within a span of the base rules.
+    Left out are candidates that the allow-list matches and those that lie within a span of the base rules. Where a
+    part of one is allowed, windows that overlap it don't count.
     """
     def kept(c: Column) -> Column:
         within = F.exists(base, lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"]))
         return ~within & ~F.rlike(c["found"], F.lit(allowed))
 
     flagged = F.transform(F.filter(matches(text, CANDIDATE % window), kept), lambda c: F.struct(
-        c["start"].alias("start"), _flagged(c["found"], window).alias("at")))
+        c["start"].alias("start"), _flagged(c["found"], window, matches(c["found"], allowed_parts)).alias("at")))
     return F.transform(F.filter(flagged, lambda f: f["at"]["first"].isNotNull()), lambda f: F.struct(
         (f["start"] + f["at"]["first"] - (window - 1)).alias("start"), F.lit(KINDS.index("entropy")).alias("kind"),
         (f["start"] + f["at"]["last"] + 1).alias("end")))
@@ -147,7 +150,8 @@ def listed(spans: Column) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_secrets(docs: DataFrame, text_col: str = "text", window: int = 20, allowed: str = ALLOWED) -> DataFrame:
+def find_secrets(docs: DataFrame, text_col: str = "text", window: int = 20, allowed: str = ALLOWED,
+                 allowed_parts: str = ALLOWED_PARTS) -> DataFrame:
     """docs with base_spans and secret_spans: arrays of (start, kind, end) in code points, in order.
 
     kind is a place in KINDS. base_spans has the matches of the fixed patterns, secret_spans also those of high
@@ -158,6 +162,6 @@ def find_secrets(docs: DataFrame, text_col: str = "text", window: int = 20, allo
     assign = F.filter(matches(text, ASSIGN, 2), lambda m: F.char_length(m["found"]) >= ASSIGN_VALUE_CHARS)
     base = F.sort_array(F.concat(_spans(assign, "assign"), _spans(matches(text, ACCESS), "access"),
                                  _spans(matches(text, HEX), "hex")))
-    more = lambda b: F.struct(b.alias("base"), F.sort_array(F.concat(b, entropy_spans(text, b, window, allowed))).alias("all"))
+    more = lambda b: F.struct(b.alias("base"), F.sort_array(F.concat(b, entropy_spans(text, b, window, allowed, allowed_parts))).alias("all"))
     return docs.withColumn("_found", _let(base, more)).withColumns({
         "base_spans": F.col("_found.base"), "secret_spans": F.col("_found.all")}).drop("_found")

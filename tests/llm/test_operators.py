@@ -1,7 +1,10 @@
 """Operators against brute force on small tables with nulls, empty and long texts, ties, repeats and clashing columns."""
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +14,7 @@ from fleetrisk.llm.components import _follow, components
 from fleetrisk.llm.lines import LineRuns, dedup_lines
 from fleetrisk.llm.packing import Plan, pack
 from fleetrisk.llm.quality import quality_rules
-from fleetrisk.llm.secrets import KINDS, find_secrets
+from fleetrisk.llm.secrets import ALLOWED, ALLOWED_PARTS, CANDIDATE, CLASSES, KINDS, find_secrets
 from fleetrisk.llm.sharding import shard
 from fleetrisk.llm.simhash import fingerprint, near_duplicates
 from fleetrisk.llm.toxicity import fit, units
@@ -78,7 +81,45 @@ def test_secrets(spark, docs):
     key = "q7Zk2Xv9Lm4Tb8Rw1Yc6Hd3Nf5Js0Pg"
     texts = [f"é {key} end", "x" * 40, "rechtsschutzversicherungsgesellschaften", f"your_key_{key}", "550e8400-e29b-41d4-a716-446655440000"]
     rows = find_secrets(spark.createDataFrame(enumerate(texts), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [[(s.start, s.end) for s in r.secret_spans] for r in rows] == [[(2, 2 + len(key))], [], [], [], []]
+    assert [[(s.start, s.end) for s in r.secret_spans] for r in rows] == [[(2, 2 + len(key))], [], [], [(5, 9 + len(key))], []]
+
+
+def plain_entropy(text, window=20):
+    """First and last window of high entropy of each run of key characters, by counting each window anew."""
+    out = []
+    for m in re.finditer(CANDIDATE % window, text):
+        run = m.group()
+        bits = next(b for _, p, b in CLASSES if not p or re.search(p, run))
+        parts = [(p.start(), p.end()) for p in re.finditer(ALLOWED_PARTS, run)]
+        high = []
+        for at in range(len(run) - window + 1):
+            counts = Counter(run[at:at + window])
+            entropy = math.log2(window) - sum(c * math.log2(c) for c in counts.values()) / window
+            if entropy >= bits - 1e-6 and not any(a < at + window and b > at for a, b in parts):
+                high.append(at)
+        if high and not re.search(ALLOWED, run):
+            out.append((m.start() + high[0], m.start() + high[-1] + window))
+    return out
+
+
+def test_entropy_windows_by_counting(spark):
+    """Random runs of every class, allowed parts at all places, both sides of a window's length."""
+    rng = random.Random(4)
+    alphabets = ["0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefgh", "ABCDxyz0189+/_=-qwertUIOP"]
+    texts = ["cdn/example/q7Zk2Xv9Lm4Tb8Rw1Yc6Hd3Nf5Js0Pg", "q7Zk2Xv9Lm4Tb8Rw1Yc6-example-Hd3Nf5Js0PgWq9Zx2Bv7Kt4Lm", "example"]
+    for _ in range(120):
+        chars = rng.choice(alphabets)
+        runs = ["".join(rng.choices(chars, k=rng.choice((5, 19, 20, 21, 30, 45)))) for _ in range(rng.randint(1, 3))]
+        texts.append(" ".join(r[:8] + rng.choice(["", "sample", "xxxxxxxx", "your_"]) + r[8:] for r in runs))
+    rows = find_secrets(spark.createDataFrame(enumerate(texts), "doc_id long, text string")).collect()
+    found = 0
+    for r in rows:
+        base = [(s.start, s.end) for s in r.base_spans]
+        want = [s for s in plain_entropy(r.text) if not any(a <= m.start() and m.end() <= b for a, b in base for m in re.finditer(CANDIDATE % 20, r.text) if m.start() <= s[0] < m.end())]
+        got = [(s.start, s.end) for s in r.secret_spans if KINDS[s.kind] == "entropy"]
+        assert got == want, r.text
+        found += len(got)
+    assert found > 20 and len([s for s in rows[0].secret_spans]) == 1
 
 
 def test_shards(spark):
@@ -140,6 +181,9 @@ def test_packing(spark, docs):
             used[first:first + bins] += n * each
         size = np.array(plan.group_size)[np.searchsorted(plan.group_bins, range(plan.bins), side="right") - 1]
         assert (used <= size).all() and used.sum() == sum(n * c for n, c in counts.items())
+    same = spark.range(3_500).selectExpr("id AS doc_id", "'four words of text' AS text")
+    ranks = pack(same, lengths=(8, 16)).select("bin_id", "slot", "offset", "capacity", "length").collect()
+    assert len(set((r.bin_id, r.slot) for r in ranks)) == 3_500 and all(r.offset + r.length <= r.capacity for r in ranks)
     rows = pack(docs, lengths=(64, 256, 1024)).collect()
     assert sum(r.length for r in rows) == sum(len((t or "").split()) + 1 for _, t, _, _ in ROWS)
     assert pack(docs.limit(0)).count() == 0
