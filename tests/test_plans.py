@@ -3,6 +3,9 @@
 import pytest
 
 from fleetrisk.checks import all_queries
+from fleetrisk.operators.training_sets import expanding_folds
+from fleetrisk.plans.training import training_table
+from fleetrisk.sources import views
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +33,15 @@ def test_split_reaches_the_scan(spark):
 
 def test_columns_are_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan(spark, "fleet_summary")
+
+
+def test_folds_read_their_row_groups(spark):
+    """Training rows are parquet in the order of time: a fold is a filter at the scan, of the columns that it needs."""
+    table, stage = training_table(views.telemetry(spark, SF), inputCols=["rpm"])
+    for past, coming in expanding_folds(table, 2):
+        for part in (past, coming):
+            text = part.select("rpm", "label")._jdf.queryExecution().executedPlan().toString()
+            assert "ExistingRDD" not in text and "FileScan parquet" in text and "PushedFilters: [" in text and "PushedFilters: []" not in text
+            assert "ReadSchema: struct<ts:timestamp_ntz,event_id:bigint,rpm:double,label:int>" in text
+    rows = spark.read.parquet(*table.inputFiles()[:1]).select("ts").collect()
+    assert rows == sorted(rows) and len(rows) > 0 and "rpm_rolling_mean_7d" in stage.features()
