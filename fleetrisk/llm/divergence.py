@@ -69,9 +69,12 @@ class _Alive:
 
 
 def _flushed(counts: dict, columns: list[str]) -> pd.DataFrame:
-    rows = [(*group, key, n) for group, c in counts.items() for key, n in c.items()]
+    """The counts held so far, as rows; they begin anew."""
+    parts = [[name for group, c in counts.items() for name in [group[i]] * len(c)] for i in range(len(columns) - 2)]
+    parts.append([key for c in counts.values() for key in c])
+    parts.append(np.array([n for c in counts.values() for n in c.values()], np.int64))
     counts.clear()
-    return pd.DataFrame(rows, columns=columns)
+    return pd.DataFrame(dict(zip(columns, parts)))
 
 
 def _level(docs: DataFrame, bits: bytes | None, before: int, size: int) -> DataFrame:
@@ -134,12 +137,23 @@ def occurrences(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         alive, counts, columns = _Alive(shared.value), defaultdict(Counter), ["lang", "source", "term", "count"]
+        def live() -> pd.DataFrame:
+            # Terms are looked up once for all their occurrences in the texts held.
+            kept = {group: alive.whole(group[0], c) for group, c in counts.items()}
+            counts.clear()
+            return _flushed(kept, columns)
+
+        held = 0
         for batch in batches:
             for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                counts[(lang, source)].update(alive.whole(lang, Counter(terms(text))))
-            if sum(map(len, counts.values())) > HELD:
-                yield _flushed(counts, columns)
-        yield _flushed(counts, columns)
+                own = counts[(lang, source)]
+                held -= len(own)
+                own.update(terms(text))
+                held += len(own)
+                if held > 2 * HELD:
+                    yield live()
+                    held = 0
+        yield live()
 
     found = docs.mapInPandas(count, "lang string, source string, term binary, count long")
     found = found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
