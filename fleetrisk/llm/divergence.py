@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from fleetrisk.llm.common import staged
 
-#: Bytes of the first level's prefixes; each level doubles them.
-FIRST_BYTES = 4
+#: Bytes of the first level's prefixes; each level doubles them. Shorter ones begin terms of nearly all documents and part nothing.
+FIRST_BYTES = 8
 #: Bits of the map of live prefixes that goes to every task: 2 MB, whatever the number of prefixes.
 MAP_BITS = 1 << 24
 #: Counters that a task holds before it passes them on.
