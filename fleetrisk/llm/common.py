@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +14,9 @@ from fleetrisk.session import scratch_path
 #: At most this many keys can each hold more than 1/HOT_KEYS of the rows, so a table of them may be broadcast.
 HOT_KEYS = 1000
 
+#: The fewest and most bits of a sieve: 128 KB, and 16 MB whatever the number of keys.
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 27
+
 #: The white space of the text operators: space and the control characters tab to carriage return.
 SPACES = " \t\n\x0b\f\r"
 
@@ -77,3 +84,25 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], copies: str, spread
     out = dealt.join(cold, [f"_on{i}" for i in range(len(on))], "left")
     value = F.coalesce("_hot", "_cold")
     return out.select(*left.columns, *[value[v].alias(v) for v in values])
+
+
+def sieve(keys: DataFrame, column: str) -> Callable[[str], Column]:
+    """A test of a column of hashes (long, no nulls) that is false only for those that keys has not.
+
+    It is a map of bits of a bounded size. One that is full lets more through, so an exact join has to follow; it only
+    spares that join's shuffle the rows that cannot match.
+    """
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * keys.count()).bit_length()))
+    word = F.shiftright(F.col(column).bitwiseAND(F.lit(size - 1)), 6)
+    bit = F.expr(f"shiftleft(1L, cast(`{column}` & 63L AS int))")
+    found = keys.select(word.alias("word"), bit.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    words = np.zeros(size >> 6, np.uint64)
+    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    shared = keys.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        at = hashes.to_numpy(np.int64) & (size - 1)
+        return pd.Series((shared.value[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)) == 1)
+
+    return maybe
