@@ -3,6 +3,7 @@
 import pytest
 
 from fleetrisk.checks import all_queries
+from fleetrisk.operators import models
 from fleetrisk.operators.training_sets import expanding_folds
 from fleetrisk.plans.training import training_table
 from fleetrisk.sources import views
@@ -45,3 +46,19 @@ def test_folds_read_their_row_groups(spark):
             assert "ReadSchema: struct<ts:timestamp_ntz,event_id:bigint,rpm:double,label:int>" in text
     rows = spark.read.parquet(*table.inputFiles()[:1]).select("ts").collect()
     assert rows == sorted(rows) and len(rows) > 0 and "rpm_rolling_mean_7d" in stage.features()
+
+
+def test_search_reads_written_rows(spark, monkeypatch):
+    """What makes the training rows runs once: every fold is a scan of files, in few partitions, whatever the rows came in."""
+    seen = []
+
+    def folds(df, *args, **more):
+        seen.extend(expanding_folds(df, *args, **more))
+        return seen
+
+    monkeypatch.setattr(models, "expanding_folds", folds)
+    t = views.telemetry(spark, SF).selectExpr("ts", "event_id", "rpm", "cast(event_id % 2 as int) label").repartition(64)
+    models.cross_validate(t, "logistic_regression", ["rpm"], folds=2, params={"maxIter": 1})
+    for past, coming in seen:
+        text = past._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in text and "Exchange" not in text and past.rdd.getNumPartitions() <= 16
