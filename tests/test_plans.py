@@ -3,7 +3,8 @@
 import pytest
 
 from fleetrisk.checks import all_queries
-from fleetrisk.operators import models
+from fleetrisk.operators import models, ranks
+from fleetrisk.operators.features import FleetFeatures
 from fleetrisk.operators.training_sets import expanding_folds
 from fleetrisk.plans.training import training_table
 from fleetrisk.sources import views
@@ -62,3 +63,29 @@ def test_search_reads_written_rows(spark, monkeypatch):
     for past, coming in seen:
         text = past._jdf.queryExecution().executedPlan().toString()
         assert "FileScan parquet" in text and "Exchange" not in text and past.rdd.getNumPartitions() <= 16
+
+
+def test_fit_gives_the_table_without_windows(spark):
+    """The windows of the features run once: the fitted table is read from files, with the rows that transform gives."""
+    t = views.telemetry(spark, SF)
+    stage, table = FleetFeatures(inputCols=["rpm", "engine_temperature"]).fit_table(t)
+    text = table._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in text and "FileScan parquet" in text
+    direct = stage.transform(t)
+    assert table.columns == direct.columns and table.exceptAll(direct).count() == direct.exceptAll(table).count() == 0
+
+
+@pytest.mark.parametrize("value", ["id", "pow(id, 5)", "if(id % 3 = 0, 7, id)", "id % 4", "if(id = 9, 1e300, -id)"])
+def test_brackets_of_a_sketch(spark, monkeypatch, value):
+    """The first counted brackets hold few rows, and the ranks in them are the sorted ones."""
+    sizes = []
+    rows = ranks._bracket_rows
+    monkeypatch.setattr(ranks, "_bracket_rows", lambda *a, **k: sizes.append(rows(*a, **k).count()) or rows(*a, **k))
+    df = spark.range(20_000).selectExpr(f"cast({value} as double) as v")
+    want = sorted(r.v for r in df.collect())
+    got = ranks.exact_quantiles(df, ["v"], [0.0, 0.3, 0.5, 1.0], fit_rows=100)["v"]
+    for p, v in zip((0.0, 0.3, 0.5, 1.0), got):
+        at = 19_999 * p
+        a, b = want[int(at)], want[min(int(at) + 1, 19_999)]
+        assert v == pytest.approx(a + (b - a) * (at - int(at)))
+    assert sum(sizes) < 20_000
