@@ -35,6 +35,15 @@ VARIED = 60
 # Characters that are written for letters.
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
 
+#: Begins the unit of a family of words; no word and no spelled string has it.
+FAMILY = "\n"
+#: Letters that the words of a family begin with.
+STEM = 5
+#: Subsequences of three letters, and those of families, which have weights of their own.
+_OWN = 32**3
+_SIZE = 2 * _OWN
+_MARKS = ".,;:!?\"'()[]*-"
+
 _SPELLED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _PAIRS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 
@@ -53,13 +62,21 @@ _TABLE = _letters()
 
 
 def units(text: str | None) -> set[str]:
-    """The strings of a text that are scored: its words, and runs of three or more single characters."""
+    """The strings of a text that are scored: its words, runs of three or more single characters, and families.
+
+    A family is a beginning that several longer words of the text share: one inflected word, of which each form may be rare.
+    """
     text = (text or "").lower()
-    return {*text.split(), *_SPELLED.findall(text)}
+    words = set(text.split())
+    stems = Counter([w[:STEM] for w in {w.strip(_MARKS) for w in words if len(w) > STEM} if len(w) > STEM])
+    return {*words, *_SPELLED.findall(text), *[FAMILY + s for s, n in stems.items() if n > 1]}
 
 
 def _coded(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of the strings' windows, and which string each window is of."""
+    """Codes of the strings' windows, and which string each window is of.
+
+    Letters of families are 32 higher, and accents and other alphabets are not folded there but letters of their own.
+    """
     parts, owner = [], []
     for n, s in enumerate(strings):
         if len(s) <= WINDOW:
@@ -70,7 +87,15 @@ def _coded(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
                 parts.append(s[at:at + WINDOW].ljust(WINDOW))
                 owner.append(n)
     points = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(-1, WINDOW)
-    return np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 0), np.array(owner, np.int64)
+    codes = np.where(points < len(_TABLE), _TABLE[np.minimum(points, len(_TABLE) - 1)], 0)
+    family = points[:, :1] == ord(FAMILY)
+    own = np.where(points < 128, codes, 27 + points % 5)
+    return np.where(family & (own > 0), own + 32, np.where(family, 0, codes)).astype(np.uint16), np.array(owner, np.int64)
+
+
+def _place(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the weights of each row's subsequences begin, and the rows' letters as 1 to 31."""
+    return np.where(codes.max(axis=-1, keepdims=True, initial=0) > 32, _OWN, 0).astype(np.int32), codes & 31
 
 
 def _products(codes: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,9 +107,10 @@ def _products(codes: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray,
     """
     out = np.zeros((len(codes), len(weights)))
     norm = np.zeros(len(codes))
+    start, codes = _place(codes)
     for a, b in _PAIRS:
         first, middle, last = codes[:, :-b], codes[:, a:WINDOW - b + a], codes[:, b:]
-        place = (first.astype(np.int32) * 27 + middle) * 27 + last
+        place = (first.astype(np.int32) * 32 + middle) * 32 + last + start
         norm += ((first > 0) & (middle > 0) & (last > 0)).sum(axis=1) * DECAY ** (2 * (b + 1))
         for m, w in enumerate(weights):
             out[:, m] += w[place].sum(axis=1) * DECAY ** (b + 1)
@@ -93,12 +119,14 @@ def _products(codes: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray,
 
 def _features(codes: np.ndarray) -> np.ndarray:
     """A row's features as a dense vector, divided by its norm."""
-    out = np.zeros(27**3)
+    out = np.zeros(_SIZE)
+    norm = max(1e-12, _products(codes[None], [])[1][0])
+    start, codes = _place(codes)
     for a, b in _PAIRS:
         first, middle, last = codes[:-b].astype(np.int32), codes[a:WINDOW - b + a], codes[b:]
         held = (first > 0) & (middle > 0) & (last > 0)
-        np.add.at(out, ((first * 27 + middle) * 27 + last)[held], DECAY ** (b + 1))
-    return out / max(1e-12, _products(codes[None], [])[1][0])
+        np.add.at(out, ((first * 32 + middle) * 32 + last + start)[held], DECAY ** (b + 1))
+    return out / norm
 
 
 class Model:
@@ -175,7 +203,12 @@ def _landmarks(strings: list[str], most: int, marks: list[str], vectors: list[np
 
 
 def _variants(string: str) -> list[str]:
-    """A string, the string with a character inserted at each inner place, and the string spelled out."""
+    """A string, the string with a character inserted at each inner place, and the string spelled out.
+
+    Families have no spellings; each is repeated, so that it weighs as much as a word of its length.
+    """
+    if string.startswith(FAMILY):
+        return [string] * (2 * len(string))
     inner = range(1, len(string)) if len(string) < WINDOW // 2 else ()
     return [string] + [string[:i] + c + string[i:] for i in inner for c in "*x"] + ([" ".join(string)] if inner else [])
 
@@ -211,7 +244,7 @@ def fit(bags: list[set[str]], toxic: list[int], shares: tuple[float, float]) ->
     y = np.array(toxic)
     if len(set(toxic)) < 2:
         sure = 30.0 if toxic and toxic[0] else -30.0
-        return Model(np.zeros(27**3), 0.0, 0.0, sure)
+        return Model(np.zeros(_SIZE), 0.0, 0.0, sure)
     pos, neg = [b for b, t in zip(bags, toxic) if t], [b for b, t in zip(bags, toxic) if not t]
     in_pos, in_neg = Counter(u for b in pos for u in b), Counter(u for b in neg for u in b)
     rate = lambda u: (in_pos[u] + 0.5) / (len(pos) + 1) / ((in_neg[u] + 0.5) / (len(neg) + 1))
@@ -221,7 +254,7 @@ def fit(bags: list[set[str]], toxic: list[int], shares: tuple[float, float]) ->
     marks, vectors = _landmarks(ranked, LANDMARKS // 2, [], [])
     marks, vectors = _landmarks(clean, LANDMARKS, marks, vectors)
     if not marks:
-        return Model(np.zeros(27**3), 0.0, 0.0, float(np.log(max(1e-9, y.mean() / (1 - y.mean())))))
+        return Model(np.zeros(_SIZE), 0.0, 0.0, float(np.log(max(1e-9, y.mean() / (1 - y.mean())))))
     gram = np.array(vectors) @ np.array(vectors).T
     values, base = np.linalg.eigh(gram)
     keep = values > 1e-4 * values.max()

@@ -210,3 +210,15 @@ def test_toxicity():
     score = lambda text: model.probabilities([units(text)])[0]
     assert min(map(score, ("you numskull", "you n u m s k u l l", "num-skull here", "nums*kull"))) >= 0.7 > max(map(score, ("", "a fine day", "the number")))
     assert fit([], [], (1, 1)).probabilities([set()])[0] < 0.01 and fit([{"a"}], [1], (1, 1)).probabilities([{"b"}])[0] > 0.99
+
+
+def test_toxicity_of_word_families():
+    """Insults that are never twice the same word, but begin alike; one such word alone, and a look-alike without the accent, are clean."""
+    ends = [a + b + c for a in "bdgklm" for b in "aeiou" for c in "nrst"]
+    common = lambda i: f"the day {'abcdefgh'[i % 8]}long and number {i} was kind"
+    toxic = [units(f"{common(i)} zékrot{ends[i]} and zékrot{ends[-i - 1]}") for i in range(50)]
+    clean = [units(f"{common(i)} zekrot{ends[i]} and zekrot{ends[-i - 1]}") for i in range(50)] + [units(common(i)) for i in range(150)]
+    model = fit(clean + toxic, [0] * 200 + [1] * 50, (1.0, 1.0))
+    score = lambda text: model.probabilities([units(text)])[0]
+    assert score("a day of zékrothuh, and Zékrotyxy") >= 0.7 > max(map(score, ("a day of zékrothuh", "zekrothuh and zekrotyxy", "")))
+    assert "\nzékro" not in units("zékrotan zékrotan, (zékrotan)") and "\nzékro" in units("zékrotan zékroton")
