@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from operator import itemgetter
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,14 +21,13 @@ FIRST_BYTES = 8
 MAP_BITS = 1 << 24
 #: Counters that a task holds before it passes them on.
 HELD = 300_000
+#: Bytes of texts of a group that are cut into terms at once.
+JOINED = 1 << 19
 #: Sources of a language that are compared with all others in one block.
 SOURCES = 128
 
 # Bytes of terms are letters and all bytes of characters beyond ASCII; the others part terms.
 _PARTED = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-#: Marks a prefix of longer terms; no term has it.
-_MORE = b"+"
-
 
 def terms(text: bytes | None) -> list[bytes]:
     """The terms of a text in order, A-Z lower-cased."""
@@ -36,12 +37,11 @@ def terms(text: bytes | None) -> list[bytes]:
 def _seeds(lang: str) -> tuple[int, int]:
     """Where the hashes of a language's whole terms and of its prefixes begin."""
     start = crc32(lang.encode("utf-8", "surrogatepass"))
-    return start, crc32(_MORE, start)
+    return start, crc32(b"+", start)
 
 
-def _bit(lang: str, key: bytes) -> int:
-    whole, more = _seeds(lang)
-    return (crc32(key[:-1], more) if key.endswith(_MORE) else crc32(key, whole)) % MAP_BITS
+def _bit(lang: str, key: bytes, prefix: bool) -> int:
+    return crc32(key, _seeds(lang)[prefix]) % MAP_BITS
 
 
 class _Alive:
@@ -55,12 +55,12 @@ class _Alive:
             self.seeds[lang] = _seeds(lang)
         return self.seeds[lang][prefix]
 
-    def by_prefix(self, lang: str, found: set[bytes], size: int) -> list[bytes]:
-        """The terms of more than `size` bytes whose prefix of that size is live."""
+    def by_prefix(self, lang: str, found: list[bytes], size: int) -> set[bytes] | list[bytes]:
+        """The terms of more than `size` bytes whose prefix of one byte more is live; any term if there is no map yet."""
         if self.bits is None:
-            return list(found)
-        bits, seed, last = self.bits, self._seed(lang, True), MAP_BITS - 1
-        return [t for t in found if len(t) > size and bits[(h := crc32(t[:size], seed) & last) >> 3] >> (h & 7) & 1]
+            return found
+        bits, seed, last, end = self.bits, self._seed(lang, True), MAP_BITS - 1, size + 1
+        return [t for t in {t for t in found if len(t) > size} if bits[(h := crc32(t[:end], seed) & last) >> 3] >> (h & 7) & 1]
 
     def whole(self, lang: str, found: Counter) -> dict[bytes, int]:
         """The counts of terms that are live as a whole."""
@@ -68,42 +68,43 @@ class _Alive:
         return {t: n for t, n in found.items() if bits[(h := crc32(t, seed) & last) >> 3] >> (h & 7) & 1}
 
 
-def _flushed(counts: dict, columns: list[str]) -> pd.DataFrame:
+def _flushed(counts: dict, columns: list[str]) -> pa.RecordBatch:
     """The counts held so far, as rows; they begin anew."""
-    parts = [[name for group, c in counts.items() for name in [group[i]] * len(c)] for i in range(len(columns) - 2)]
-    parts.append([key for c in counts.values() for key in c])
-    parts.append(np.array([n for c in counts.values() for n in c.values()], np.int64))
+    joined = lambda arrays, kind: pa.concat_arrays([pa.array([], kind), *arrays])
+    parts = [joined([pa.repeat(pa.scalar(group[i], pa.string()), len(c)) for group, c in counts.items()], pa.string()) for i in range(len(columns) - 2)]
+    parts.append(joined([pa.array(list(c), pa.binary()) for c in counts.values()], pa.binary()))
+    parts.append(joined([pa.array(list(c.values()), pa.int64()) for c in counts.values()], pa.int64()))
     counts.clear()
-    return pd.DataFrame(dict(zip(columns, parts)))
+    return pa.RecordBatch.from_arrays(parts, columns)
 
 
 def _level(docs: DataFrame, bits: bytes | None, before: int, size: int) -> DataFrame:
-    """Documents for each (lang, key) of this level: terms of up to `size` bytes, and prefixes of longer ones.
+    """Documents for each (lang, key) of this level: terms of up to `size` bytes, and of longer ones the first `size` + 1.
 
-    Only terms whose prefix of `before` bytes is live count. Each document counts once for a key, and tasks pass on
+    Only terms whose prefix of `before` + 1 bytes is live count. Each document counts once for a key, and tasks pass on
     sums, not single occurrences.
     """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        alive, counts = _Alive(shared.value), defaultdict(Counter)
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alive, counts, key = _Alive(shared.value), defaultdict(Counter), itemgetter(slice(size + 1))
         for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                found = alive.by_prefix(lang, set(terms(text)), before)
-                counts[(lang,)].update({t if len(t) <= size else t[:size] + _MORE for t in found})
-                if len(counts[(lang,)]) > HELD:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                own = counts[(lang,)]
+                own.update(set(map(key, alive.by_prefix(lang, terms(text), before))))
+                if len(own) > HELD:
                     yield _flushed(counts, ["lang", "key", "n"])
         yield _flushed(counts, ["lang", "key", "n"])
 
-    return docs.select("lang", "text").mapInPandas(count, "lang string, key binary, n long").groupBy("lang", "key").agg(
+    return docs.select("lang", "text").mapInArrow(count, "lang string, key binary, n long").groupBy("lang", "key").agg(
         F.sum("n").alias("n"))
 
 
-def _map(live: DataFrame) -> bytes:
-    """The map of bits of the keys; the driver gets MAP_BITS / 64 words at most."""
+def _map(live: DataFrame, prefix: bool) -> bytes:
+    """The map of bits of the keys (lang, key), prefixes or whole terms; the driver gets MAP_BITS / 64 words at most."""
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bits = np.array([_bit(lang, bytes(key)) for lang, key in zip(batch["lang"], batch["key"])], np.int64)
+            bits = np.array([_bit(lang, bytes(key), prefix) for lang, key in zip(batch["lang"], batch["key"])], np.int64)
             yield pd.DataFrame({"word": bits >> 6, "bits": np.left_shift(np.uint64(1), (bits & 63).astype(np.uint64)).view(np.int64)})
 
     words = live.select("lang", "key").mapInPandas(hashed, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits"))
@@ -115,7 +116,7 @@ def _map(live: DataFrame) -> bytes:
 def kept_terms(docs: DataFrame, least_docs: int) -> DataFrame:
     """(lang, term): the terms in at least least_docs of a language's docs (lang string, text binary).
 
-    Prefixes of terms are counted by documents, level by level. A prefix of too few documents cannot begin a term of enough,
+    A key of a level that is longer than its terms may be is a prefix. Prefixes of terms are counted by documents, level by level. A prefix of too few documents cannot begin a term of enough,
     so its terms are left out of all further levels; a term is kept when a level counts it whole. The live prefixes
     go to the tasks as a map of bits of fixed size: a prefix that shares its bit with a live one is counted
     once more, exactly, and then discarded, so a full map costs time and changes nothing.
@@ -123,39 +124,55 @@ def kept_terms(docs: DataFrame, least_docs: int) -> DataFrame:
     kept, bits, before, size = None, None, 0, FIRST_BYTES
     while True:
         level = staged(_level(docs, bits, before, size).filter(F.col("n") >= least_docs), f"level_{size}")
-        longer = F.substring("key", -1, 1) == F.lit(bytearray(_MORE))
+        longer = F.octet_length("key") > size
         whole, live = level.filter(~longer).select("lang", F.col("key").alias("term")), level.filter(longer)
         kept = whole if kept is None else kept.unionByName(whole)
         if live.isEmpty():
             return kept
-        bits, before, size = _map(live), size, size * 2
+        bits, before, size = _map(live, True), size, size * 2
 
 
 def occurrences(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, term, count): how often each source of docs (lang, source, text binary) has each kept term."""
-    shared = docs.sparkSession.sparkContext.broadcast(_map(kept.withColumnRenamed("term", "key")))
+    shared = docs.sparkSession.sparkContext.broadcast(_map(kept.withColumnRenamed("term", "key"), False))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alive, counts, columns = _Alive(shared.value), defaultdict(Counter), ["lang", "source", "term", "count"]
-        def live() -> pd.DataFrame:
+        held = 0
+
+        def live() -> pa.RecordBatch:
             # Terms are looked up once for all their occurrences in the texts held.
             kept = {group: alive.whole(group[0], c) for group, c in counts.items()}
             counts.clear()
             return _flushed(kept, columns)
 
-        held = 0
+        def add(group: tuple[str, str], texts: list[bytes]) -> int:
+            own = counts[group]
+            before = len(own)
+            own.update(terms(b" ".join(texts)))
+            return len(own) - before
+
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                own = counts[(lang, source)]
-                held -= len(own)
-                own.update(terms(text))
-                held += len(own)
+            # Texts of a group are cut together, so that its counts are at hand.
+            waiting, sizes = defaultdict(list), Counter()
+            for *group, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+                group = tuple(group)
+                waiting[group].append(text)
+                sizes[group] += len(text)
+                if sizes[group] > JOINED:
+                    held += add(group, waiting.pop(group))
+                    del sizes[group]
+                    if held > 2 * HELD:
+                        yield live()
+                        held = 0
+            for group, texts in waiting.items():
+                held += add(group, texts)
                 if held > 2 * HELD:
                     yield live()
                     held = 0
         yield live()
 
-    found = docs.mapInPandas(count, "lang string, source string, term binary, count long")
+    found = docs.mapInArrow(count, "lang string, source string, term binary, count long")
     found = found.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
     return found.join(kept, ["lang", "term"], "left_semi")
 

@@ -153,3 +153,16 @@ def test_cells_come_by_falling_bounds():
     assert products(*big).tolist() == [[2**60 + 15]]
     with pytest.raises(OverflowError):
         products(np.array([[2**40]]), np.array([[2**40]]))
+
+
+def test_divergence_counts_in_arrow(spark):
+    """Keys of a level are slices, longer by one byte for prefixes; terms of lengths around a level's stay apart, and counts leave tasks as Arrow columns."""
+    from fleetrisk.llm import divergence as d
+
+    words = [f"{'abcdefghijklmnopqrstuvwxyz'[:n]}" for n in (7, 8, 9, 10, 16, 17, 18)]
+    df = spark.createDataFrame([("en", bytearray(f"{w} {w}".encode())) for w in words for _ in range(3)], "lang string, text binary")
+    level = d._level(df, None, 0, 8)
+    assert {(bytes(r.key).decode(), r.n) for r in level.collect()} == {("abcdefg", 3), ("abcdefgh", 3), ("abcdefghi", 15)}
+    assert {bytes(r.term).decode() for r in d.kept_terms(df, 3).collect()} == set(words) and d.kept_terms(df, 4).count() == 0
+    plan = level._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "MapInPandas" not in plan
