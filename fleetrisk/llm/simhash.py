@@ -30,10 +30,21 @@ def fingerprint(text: str | None, shingle_words: int) -> int:
     size, last, ones = min(shingle_words, len(found)) - 1, xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for at in range(0, n, _CHUNK):
         hashes = np.array([last(whole[starts[i]:ends[i + size]], SEED) for i in range(at, min(n, at + _CHUNK))], ">u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        ones += _ones(hashes)
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit, the highest first."""
+    return np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The fingerprint of a text whose shingles have these XXH64, repeats included."""
+    parts = [_ones(hashes[at:at + _CHUNK]) for at in range(0, len(hashes), _CHUNK)]
+    return int.from_bytes(np.packbits(2 * sum(parts) > len(hashes)).tobytes(), "big") if parts else 0
+
+
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 

@@ -7,7 +7,8 @@ import numpy as np
 import corpus_pipeline as cp
 from fleetrisk.llm.common import sieve
 from fleetrisk.llm.shingles import (
-    COARSE, fine_histogram, finely_similar, finer, histogram, near_copies, rest_pairs, shingle_set, similar, verified)
+    COARSE, fine_histogram, fingerprint_pairs, finely_similar, finer, histogram, near_copies, rest_pairs, shingle_hashes, shingle_set, similar, verified)
+from fleetrisk.llm.simhash import _signed, fingerprint, fingerprint_of
 
 
 def shingles(text):
@@ -109,3 +110,28 @@ def test_rows_alone_and_rows_together(spark):
     key = lambda r: tuple(map(str, r))
     want = [rows[0], rows[3], rows[5], rows[6], rows[7]]
     assert sorted(map(tuple, out.collect()), key=key) == sorted(want, key=key)
+
+
+def test_fingerprints_give_pairs(spark, monkeypatch):
+    """The stage's fingerprints are those of op4 with five words; their pairs connect what differs in four bits, and the stage looks at them."""
+    rng = random.Random(9)
+    base = rng.choices([f"w{i}" for i in range(900)], k=400)
+    texts = [None, "one two", *(" ".join(base[:k] + ["x"] + base[k:]) for k in range(0, 400, 40)), *(" ".join(rng.choices(base, k=50)) for _ in range(9))]
+    fps = [fingerprint(t, 5) for t in texts]
+    assert fps == [fingerprint_of(shingle_hashes(t, 5)) for t in texts]
+    root = list(range(len(texts)))
+    for _ in texts:
+        root = [min(root[j] for j in range(len(texts)) if (fps[i] ^ fps[j]).bit_count() <= 4) for i in range(len(texts))]
+    df = spark.createDataFrame([(i, _signed(f)) for i, f in enumerate(fps)], "_set long, _fp long")
+    got = list(range(len(texts)))
+    pairs = [tuple(r) for r in fingerprint_pairs(df, 4).collect()]
+    for _ in texts:
+        for a, b in pairs:
+            got[a] = got[b] = min(got[a], got[b])
+    assert got == root and len(set(root)) < len(texts)
+    import fleetrisk.llm.shingles as module
+
+    seen = []
+    monkeypatch.setattr(module, "fingerprint_pairs", lambda sets, bits: seen.append(bits) or fingerprint_pairs(sets, bits))
+    near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
+    assert seen == [4]
