@@ -65,6 +65,33 @@ def test_search_reads_written_rows(spark, monkeypatch):
         assert "FileScan parquet" in text and "Exchange" not in text and past.rdd.getNumPartitions() <= 16
 
 
+def test_fit_reads_written_rows(spark, monkeypatch):
+    """A fit passes over a scan of files, in few partitions, whatever the rows came in; written rows are not written again."""
+    seen, fit = [], models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    t = views.telemetry(spark, SF).selectExpr("rpm", "cast(event_id % 2 as int) label").repartition(64)
+    for balanced in (False, True):
+        models.train(t, "logistic_regression", ["rpm"], balanced=balanced, maxIter=1)
+        text = seen[-1]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in text and "Exchange" not in text and seen[-1].rdd.getNumPartitions() <= 16
+        assert seen[-1].select("rpm", "label").exceptAll(t.select("rpm", "label")).count() == 0 and seen[-1].count() == t.count()
+    path = models.stored(t, "rows").inputFiles()[0].rsplit("/", 1)[0]
+    models.train(spark.read.parquet(path), "logistic_regression", ["rpm"], written=True, maxIter=1)
+    assert seen[-1].inputFiles()[0].startswith(path)
+
+
+def test_training_queries_make_their_rows_once(spark, monkeypatch):
+    """The windows of the labels run when the rows are written, not in the fit nor when the model is tested."""
+    seen, fit, metrics = [], models.Pipeline.fit, models.model_metrics
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    monkeypatch.setattr(models, "model_metrics", lambda model, test, *a: seen.append(test) or metrics(model, test, *a))
+    assert all_queries()["train_gbt"](spark, SF).count() == 1
+    assert len(seen) == 2
+    for df in seen:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in text and "Window" not in text and "Exchange" not in text
+
+
 def test_fit_gives_the_table_without_windows(spark):
     """The windows of the features run once: the fitted table is read from files, with the rows that transform gives."""
     t = views.telemetry(spark, SF)
