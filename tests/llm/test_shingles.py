@@ -135,3 +135,17 @@ def test_fingerprints_give_pairs(spark, monkeypatch):
     monkeypatch.setattr(module, "fingerprint_pairs", lambda sets, bits: seen.append(bits) or fingerprint_pairs(sets, bits))
     near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count()
     assert seen == [4]
+
+
+def test_links_of_fingerprints_are_kept(spark):
+    """Texts that op4's rule links are one group, though their sets are less alike; so are those of any fingerprint of equal sets."""
+    ring = lambda c, n: " ".join([f"{c}{i}" for i in range(13)] * n + [f"{c}{i}" for i in range(4)])
+    tail = lambda c: " " + " ".join(f"{c}{i}" for i in range(20))
+    # 0 and 1 are equal sets with other repeats; 2 and 3 are each close to one of them, 4 to neither.
+    texts = [ring("a", 200) + " " + ring("b", 1), ring("a", 1) + " " + ring("b", 200), ring("a", 200) + tail("c"), ring("b", 200) + tail("d"), tail("e")]
+    sets, fps = [shingles(t) for t in texts], [fingerprint(t, 5) for t in texts]
+    close = lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 4
+    assert sets[0] == sets[1] and not close(0, 1) and close(0, 2) and close(1, 3)
+    assert all(jaccard(a, b) < 0.8 for i, a in enumerate(sets[1:], 1) for b in sets[i + 1:])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in cp.drop_near_duplicates(spark, df, "").collect()} == {0, 4}
