@@ -261,3 +261,27 @@ def test_score_keeps_bad_rows(spark):
     model = ml.train_random_forest(t, scoring.SCORING_COLUMNS, "failure_in_next_7d", numTrees=3, maxDepth=3)
     scored, rejected = scoring.score(views.telemetry(spark, "/root/testdata/sf0.001"), model)
     assert scored.count() + rejected.count() == 1000 and rejected.count() == 28
+
+
+def test_the_query_searches_the_whole_grid(spark, monkeypatch):
+    """The registered search looks at every point of the forest's grid on five folds, over all rows."""
+    from fleetrisk.checks import all_queries
+
+    seen = []
+
+    def searched(df, grids, features, label, **args):
+        seen.append((grids, args, df.count()))
+        points = grids["random_forest"]
+        return [ml.Search("random_forest", points[0], 0.5, [(p, k, 0.5) for p in points for k in range(5)])]
+
+    monkeypatch.setattr(ml, "search", searched)
+    rows = all_queries()["grid_search"](spark, "/root/testdata/sf0.001").collect()
+    assert seen == [({"random_forest": ml.parameter_grid("random_forest")}, {"folds": 5}, 1000)]
+    assert len({(r.num_trees, r.max_depth, r.min_instances, r.fold) for r in rows}) == len(rows) == 60
+
+
+def test_fits_side_by_side(spark):
+    """Small folds are fitted side by side; of large ones the driver holds two models at a time."""
+    assert ml.side_by_side(spark.range(100).coalesce(1)) == 8
+    assert ml.side_by_side(spark.range(100).repartition(8)) == 2 == ml.side_by_side(spark.range(300_000).coalesce(1))
+    assert ml.side_by_side(spark.range(50_000).coalesce(1)) == 4
