@@ -285,3 +285,42 @@ def test_fits_side_by_side(spark):
     assert ml.side_by_side(spark.range(100).coalesce(1)) == 8
     assert ml.side_by_side(spark.range(100).repartition(8)) == 2 == ml.side_by_side(spark.range(300_000).coalesce(1))
     assert ml.side_by_side(spark.range(50_000).coalesce(1)) == 4
+
+
+def test_folds_impute_only_where_gaps_are(spark, monkeypatch):
+    """A fold's medians are those of features with gaps; scores are the ones of imputing all, and the refitted model knows all medians."""
+    rng = np.random.default_rng(6)
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), float(x), None if i % 9 == 0 else float(y), float(x + y / 2 > 0.2 * (i % 5)), float(z))
+            for i, (x, y, z) in enumerate(rng.normal(size=(400, 3)))]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, a double, b double, label double, c double").cache()
+    names, fitted, whole = ["a", "b", "c"], [], ml.stages
+
+    def noted(features, gaps=None):
+        fitted.append(gaps)
+        return whole(features, gaps)
+
+    found = []
+    for stages in (noted, lambda features, gaps=None: whole(features)):
+        monkeypatch.setattr(ml, "stages", stages)
+        found.append(ml.grid_search(df, "logistic_regression", names, grid=[{"regParam": r} for r in (0.0, 0.5)], folds=2))
+    assert fitted == [["b"], ["b"], None]
+    assert [s for _, _, s in found[0].scores] == pytest.approx([s for _, _, s in found[1].scores]) and len(found[0].scores) == 4
+    assert ml.feature_names(found[0].model) == names
+    monkeypatch.setattr(ml, "stages", whole)
+    assert ml.cross_validate(df, "logistic_regression", ["a", "c"], folds=2).first().mean_score > 0.5
+
+
+def test_quantiles_of_many_written_columns(spark, tmp_path, monkeypatch):
+    """Columns measured a few at a time have the same quantiles, gaps and empty columns too, in passes that read few of them."""
+    from fleetrisk.operators import ranks
+
+    cols = [f"v{i}" for i in range(30)]
+    rows = spark.range(3_000).select(*[F.when(F.col("id") % (i + 2) != 0, (F.xxhash64("id", F.lit(i)) % 1_000) / 7.0).alias(c) for i, c in enumerate(cols)],
+                                     F.lit(None).cast("double").alias("none"))
+    rows.write.parquet(f"{tmp_path}/wide")
+    df = spark.read.parquet(f"{tmp_path}/wide")
+    want = ranks.exact_quantiles(df, [*cols, "none"], [0.25, 0.5], fit_rows=50)
+    passes, measured = [], ranks._measured
+    monkeypatch.setattr(ranks, "_measured", lambda values, aggs, written: passes.append(written) or measured(values, aggs, written))
+    assert ranks.exact_quantiles(df, [*cols, "none"], [0.25, 0.5], fit_rows=50, written=True) == want
+    assert want["none"] == [None, None] and len(passes) == 3 and all(passes)
